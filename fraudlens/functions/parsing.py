@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from fraudlens.schema import MONEY, TRANSACTION_COLUMNS, WIRE_SCHEMA
 
 
+# ISO-8601 with microseconds; the JSON writer's default would cut them to milliseconds.
+TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def iso_timestamp(text: Column | str) -> Column:
     """ISO-8601 text to a timestamp; unreadable text becomes null."""
     return F.try_to_timestamp(F.col(text) if isinstance(text, str) else text)
@@ -50,7 +54,7 @@ def quarantined(parsed: DataFrame) -> DataFrame:
 
 
 def to_snake_json(df: DataFrame, *columns: str) -> Column:
-    return F.to_json(F.struct(*(columns or df.columns)))
+    return F.to_json(F.struct(*(columns or df.columns)), {"timestampFormat": TIMESTAMP_FORMAT})
 
 
 def camel(name: str) -> str:
@@ -59,7 +63,8 @@ def camel(name: str) -> str:
 
 
 def to_camel_json(df: DataFrame, *columns: str) -> Column:
-    return F.to_json(F.struct(*[F.col(c).alias(camel(c)) for c in (columns or df.columns)]))
+    fields = [F.col(c).alias(camel(c)) for c in (columns or df.columns)]
+    return F.to_json(F.struct(*fields), {"timestampFormat": TIMESTAMP_FORMAT})
 
 
 def parse_id_list(text: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fraudlens.functions.scoring import alert_type, detected_patterns, severity
 from fraudlens.schema import (
@@ -32,8 +32,8 @@ def high_risk(scored: DataFrame, threshold: int = SCORE_THRESHOLD) -> DataFrame:
     return scored.filter(F.col("fraud_score") >= threshold)
 
 
-def build_alerts(scored: DataFrame, threshold: int = SCORE_THRESHOLD) -> DataFrame:
-    """Windows at or above the threshold, as alert rows.
+def build_alerts(scored: DataFrame, threshold: int = SCORE_THRESHOLD, *extra: Column) -> DataFrame:
+    """Windows at or above the threshold, as alert rows, followed by ``extra`` columns.
 
     First and last seen are the window's bounds.  The stored time of an alert is the
     time of its last transaction, so that a replay gives the same row.
@@ -59,6 +59,7 @@ def build_alerts(scored: DataFrame, threshold: int = SCORE_THRESHOLD) -> DataFra
         *first,
         F.coalesce("first_txn.ip_address", F.lit("unknown")).alias("ip_address"),
         F.col("last_timestamp").alias("created_at"),
+        *extra,
     )
 
 

@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from fraudlens.schema import CLASS_WEIGHT_DIVISOR, WORST_CLASS_F1
 
-_ALL = Window.partitionBy(F.lit(1))
-
 
 def class_distribution(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("count"))
@@ -27,7 +25,8 @@ def class_count(df: DataFrame, column: str) -> DataFrame:
 def class_weights(df: DataFrame, column: str, divisor: int = CLASS_WEIGHT_DIVISOR) -> DataFrame:
     """total / (divisor * rows of the class)."""
     return class_distribution(df, column).withColumn(
-        "class_weight", F.sum("count").over(_ALL) / (divisor * F.col("count"))
+        "class_weight",
+        F.sum("count").over(Window.partitionBy(F.lit(1))) / (divisor * F.col("count")),
     )
 
 
@@ -51,7 +50,7 @@ def confusion_matrix(
     predicted: DataFrame, classes: list[str], label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
     """The matrix in wide form: one row per label, one column per predicted class."""
-    wide = predicted.groupBy(label).pivot(prediction, classes).agg(F.count("*"))
+    wide = predicted.groupBy(label).pivot(prediction, classes).agg(F.count(F.lit(1)))
     return wide.na.fill(0)
 
 

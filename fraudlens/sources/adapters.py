@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from fraudlens.functions.parsing import TIMESTAMP_FORMAT
 from fraudlens.functions.scoring import score_from_confidence
 from fraudlens.schema import TRANSACTION_COLUMNS
 from fraudlens.session import prepare
@@ -156,7 +157,7 @@ def raw_events_from(tx: DataFrame) -> DataFrame:
     damaged = {kind: number % F.lit(n) == 0 for kind, n in DAMAGE.items()}
     wire = {
         "timestamp": F.when(damaged["bad_timestamp"], "not-a-time").otherwise(
-            F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+            F.date_format("timestamp", TIMESTAMP_FORMAT)
         ),
         "actor_id": F.when(~damaged["missing_actor"], F.col("actor_id")),
         "amount": F.when(~damaged["missing_amount"], F.col("amount")),

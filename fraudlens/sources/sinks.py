@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from fraudlens.functions.parsing import to_snake_json
+from fraudlens.functions.parsing import TIMESTAMP_FORMAT, to_snake_json
 from fraudlens.schema import ALERT_COLUMNS, TRANSACTION_COLUMNS
 
 
@@ -21,11 +21,11 @@ def write_features(df: DataFrame, path: str) -> None:
 def write_labels_csv(labels: DataFrame, path: str) -> None:
     labels.write.mode("overwrite").option("header", True).option("quote", '"').option(
         "escape", '"'
-    ).csv(path)
+    ).option("timestampFormat", TIMESTAMP_FORMAT).csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").option("timestampFormat", TIMESTAMP_FORMAT).json(path)
 
 
 def write_events(df: DataFrame, target: str, sink: str = "kafka", topic: str = "all-transactions") -> None:
