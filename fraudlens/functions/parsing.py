@@ -30,11 +30,11 @@ def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
         F.col(value).cast("string"), WIRE_SCHEMA,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
-    typed = {"timestamp": iso_timestamp("_event.timestamp"), "amount": F.col("_event.amount").cast(MONEY)}
-    fields = raw.select(F.col(value).cast("string").alias("raw"), event.alias("_event")).select(
-        "raw",
-        F.col("_event._corrupt").alias("_corrupt"),
-        *[typed.get(c, F.col(f"_event.{c}")).alias(c) for c in TRANSACTION_COLUMNS],
+    # ``inline`` parses each record once; a projection would be repeated by every filter
+    # that the optimizer moves below it.
+    parsed = raw.select(F.col(value).cast("string").alias("raw"), F.inline(F.array(event)))
+    fields = parsed.withColumns(
+        {"timestamp": iso_timestamp("timestamp"), "amount": F.col("amount").cast(MONEY)}
     )
     reason = (
         F.when(F.col("raw").isNull() | F.col("_corrupt").isNotNull(), "malformed")

@@ -24,7 +24,7 @@ from fraudlens.schema import (
     SCORE_THRESHOLD,
     TRANSACTION_COLUMNS,
 )
-from fraudlens.session import fresh_path
+from fraudlens.session import fresh_path, prepare
 from fraudlens.sources import adapters, files, sinks
 from fraudlens.streaming import alert_stream
 
@@ -79,13 +79,35 @@ def scored_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return al.attach_predictions(daily, adapters.predictions_for(daily))
 
 
-def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def built_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return al.build_alerts(scored_windows(spark, sf_dir))
 
 
-def alert_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = windows.window_members(adapters.transactions(spark, sf_dir), DAY)
-    return al.alert_children(stored_alerts(spark, sf_dir), members)
+_ALERT_TABLES: dict[tuple[str, str], str] = {}
+
+
+def alert_tables(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the stored alert tables, written once per application.
+
+    The alert queries read stored tables, as they do in use.
+    """
+    prepare(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ALERT_TABLES:
+        path = fresh_path(spark, "alert_tables")
+        alerts = built_alerts(spark, sf_dir)
+        members = windows.window_members(adapters.transactions(spark, sf_dir), DAY)
+        sinks.write_alert_tables(alerts, al.alert_children(alerts, members), path)
+        _ALERT_TABLES[key] = path
+    return _ALERT_TABLES[key]
+
+
+def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_parquet(spark, f"{alert_tables(spark, sf_dir)}/fraud_alerts")
+
+
+def stored_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_parquet(spark, f"{alert_tables(spark, sf_dir)}/suspicious_transactions")
 
 
 def grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -392,7 +414,7 @@ def _(spark, sf_dir):
 
 @query("alerts_built", check("SELECT * FROM alerts", "alerts"))
 def _(spark, sf_dir):
-    return stored_alerts(spark, sf_dir)
+    return built_alerts(spark, sf_dir)
 
 
 @query("alert_full_view", check(f"SELECT {', '.join(ALERT_COLUMNS)} FROM alerts", "alerts"))
@@ -407,7 +429,7 @@ def _(spark, sf_dir):
 
 @query("transaction_view", check(f"SELECT {_TX_NAMES} FROM children", "children"))
 def _(spark, sf_dir):
-    return al.transaction_view(alert_transactions(spark, sf_dir))
+    return al.transaction_view(stored_children(spark, sf_dir))
 
 
 _PAGE = f"SELECT {', '.join(ALERT_SUMMARY_COLUMNS)}, (SELECT count(*) FROM m) AS total"
@@ -468,9 +490,7 @@ _CHILD_NAMES = ", ".join(
     check(f"SELECT alerts.*, {_CHILD_NAMES} FROM alerts LEFT JOIN children c USING (alert_id)", "alerts", "children"),
 )
 def _(spark, sf_dir):
-    alerts = stored_alerts(spark, sf_dir)
-    members = windows.window_members(adapters.transactions(spark, sf_dir), DAY)
-    return al.alert_detail(alerts, members.select("alert_id", *TRANSACTION_COLUMNS))
+    return al.alert_detail(stored_alerts(spark, sf_dir), stored_children(spark, sf_dir))
 
 
 @query(
@@ -482,8 +502,8 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    members = windows.window_members(adapters.transactions(spark, sf_dir), DAY)
-    return al.alert_detail(stored_alerts(spark, sf_dir), members, "A0:1704499200")
+    stored = stored_alerts(spark, sf_dir), stored_children(spark, sf_dir)
+    return al.alert_detail(*stored, "A0:1704499200")
 
 
 # --- Velocity ------------------------------------------------------------------------

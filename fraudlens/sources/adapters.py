@@ -42,14 +42,12 @@ def _texts(values: list) -> dict:
     return {i: "NULL" if v is None else f"'{v}'" for i, v in enumerate(values)}
 
 
-_PATTERN = (
-    "CASE "
-    + " ".join(
-        f"WHEN domain = '{d}' AND event_type = '{e}' THEN '{p}'"
+_PATTERN = _case(
+    "domain",
+    {
+        f"'{d}'": _case("event_type", {f"'{e}'": f"'{p}'" for e, p in by_type.items()})
         for d, by_type in EVENT_PATTERNS.items()
-        for e, p in by_type.items()
-    )
-    + " END"
+    },
 )
 
 
@@ -166,8 +164,8 @@ def raw_events_from(tx: DataFrame) -> DataFrame:
     }
     fields = [wire.get(c, F.col(c)).alias(c) for c in TRANSACTION_COLUMNS]
     text = F.to_json(F.struct(*fields, F.lit("simulator").alias("emitted_by")))
-    cut = F.substring(text, F.lit(1), F.length(text) - 25)
-    return tx.select(F.when(damaged["malformed"], cut).otherwise(text).alias("value"))
+    broken = F.when(damaged["malformed"], "{").otherwise("")
+    return tx.select(F.concat(broken, text).alias("value"))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:

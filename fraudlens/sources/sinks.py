@@ -56,6 +56,15 @@ def flat_patterns(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("patterns_detected", F.array_join("patterns_detected", ","))
 
 
+def write_alert_tables(alerts: DataFrame, children: DataFrame, path: str) -> None:
+    """Both alert tables from a batch job: alerts by domain and in time order within files,
+    which is what the alert queries filter and order by."""
+    alerts.sortWithinPartitions("last_seen").write.mode("overwrite").partitionBy("domain").parquet(
+        f"{path}/fraud_alerts"
+    )
+    children.write.mode("overwrite").parquet(f"{path}/suspicious_transactions")
+
+
 def split_alert_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(alert, transaction) rows to the parent and the child table.
 
