@@ -37,7 +37,7 @@ def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
         {"timestamp": iso_timestamp("timestamp"), "amount": F.col("amount").cast(MONEY)}
     )
     reason = (
-        F.when(F.col("raw").isNull() | F.col("_corrupt").isNotNull(), "malformed")
+        F.when(F.col("raw").isNull() | (F.trim("raw") == "") | F.col("_corrupt").isNotNull(), "malformed")
         .when(F.col("timestamp").isNull(), "bad_timestamp")
         .when(F.col("actor_id").isNull(), "missing_actor")
         .when(F.col("amount").isNull(), "missing_amount")
