@@ -32,7 +32,7 @@ def high_risk(scored: DataFrame, threshold: int = SCORE_THRESHOLD) -> DataFrame:
     return scored.filter(F.col("fraud_score") >= threshold)
 
 
-def build_alerts(scored: DataFrame, threshold: int = SCORE_THRESHOLD, *extra: Column) -> DataFrame:
+def build_alerts(scored: DataFrame, threshold: int = SCORE_THRESHOLD, *extra: Column | str) -> DataFrame:
     """Windows at or above the threshold, as alert rows, followed by ``extra`` columns.
 
     First and last seen are the window's bounds.  The stored time of an alert is the

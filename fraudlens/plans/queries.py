@@ -110,8 +110,19 @@ def stored_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, f"{alert_tables(spark, sf_dir)}/suspicious_transactions")
 
 
+_GROUP_TABLES: dict[tuple[str, str], str] = {}
+
+
 def grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lb.anchored_groups(adapters.transactions(spark, sf_dir))
+    """Grouped transactions, stored once per application: labels, id lists and the
+    training join all read them."""
+    prepare(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GROUP_TABLES:
+        path = fresh_path(spark, "grouped")
+        lb.anchored_groups(adapters.transactions(spark, sf_dir)).write.parquet(path)
+        _GROUP_TABLES[key] = path
+    return files.read_parquet(spark, _GROUP_TABLES[key])
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -676,7 +687,8 @@ def _(spark, sf_dir):
 
 @query("anchored_groups", check("SELECT transaction_id, group_start, group_id FROM grouped", "grouped"))
 def _(spark, sf_dir):
-    return grouped(spark, sf_dir).select("transaction_id", "group_start", "group_id")
+    groups = lb.anchored_groups(adapters.transactions(spark, sf_dir))
+    return groups.select("transaction_id", "group_start", "group_id")
 
 
 @query("alert_labels", check("SELECT * FROM labels_table", "labels_table"))

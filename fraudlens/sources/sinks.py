@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from fraudlens.functions.parsing import TIMESTAMP_FORMAT, to_snake_json
-from fraudlens.schema import ALERT_COLUMNS, TRANSACTION_COLUMNS
 
 
 def write_by_domain(df: DataFrame, path: str) -> None:
@@ -66,15 +65,13 @@ def write_alert_tables(alerts: DataFrame, children: DataFrame, path: str) -> Non
 
 
 def split_alert_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(alert, transaction) rows to the parent and the child table.
+    """Rows of (alert_id, alert, txn) to the parent and the child table.
 
-    Transaction columns carry the prefix ``txn_``; a null transaction is a parent
-    without children.
+    ``alert`` is set on at least one row of each alert; a null ``txn`` is an alert
+    without transactions.
     """
-    parents = rows.select(*ALERT_COLUMNS).dropDuplicates(["alert_id"])
-    children = rows.filter(F.col("txn_transaction_id").isNotNull()).select(
-        "alert_id", *[F.col(f"txn_{c}").alias(c) for c in TRANSACTION_COLUMNS]
-    )
+    parents = rows.filter(F.col("alert").isNotNull()).select("alert.*").dropDuplicates(["alert_id"])
+    children = rows.filter(F.col("txn").isNotNull()).select("alert_id", "txn.*")
     return parents, children
 
 

@@ -4,7 +4,7 @@ import pytest
 
 from fraudlens.functions import parsing
 from fraudlens.operators import labels as lb
-from fraudlens.schema import LABEL_SCHEMA, TRANSACTION_COLUMNS
+from fraudlens.schema import LABEL_SCHEMA
 from fraudlens.sources import files, sinks
 from fraudlens.streaming import alert_stream
 
@@ -51,8 +51,8 @@ def test_failure_between_the_writes_is_repaired(spark, rows, tmp_path):
 
 
 def test_parent_without_children(spark, rows, tmp_path):
-    alone = rows.limit(1).withColumns(
-        {f"txn_{c}": F.lit(None).cast(rows.schema[f"txn_{c}"].dataType) for c in TRANSACTION_COLUMNS}
+    alone = rows.filter("alert is not null").limit(1).withColumn(
+        "txn", F.lit(None).cast(rows.schema["txn"].dataType)
     )
     sinks.write_alert_batch(alone, 0, str(tmp_path))
     assert counts(spark, tmp_path) == (1, 0)

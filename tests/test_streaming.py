@@ -105,10 +105,9 @@ def test_stream_equals_batch(spark, tmp_path):
     job.awaitTermination()
     tx = adapters.transactions(spark, SMALL)
     newest = tx.agg(F.max("timestamp")).first()[0]
-    batch = st.alert_rows(tx, adapters.rule_scorer, "6 hours").filter(
-        F.col("last_seen") <= F.lit(newest - timedelta(seconds=30))
-    )
-    parents, children = sinks.split_alert_rows(batch)
+    parents, children = sinks.split_alert_rows(st.alert_rows(tx, adapters.rule_scorer, "6 hours"))
+    parents = parents.filter(F.col("last_seen") <= F.lit(newest - timedelta(seconds=30)))
+    children = children.join(parents.select("alert_id"), "alert_id", "left_semi")
     for name, expected in (("fraud_alerts", parents), ("suspicious_transactions", children)):
         got = spark.read.parquet(str(tmp_path / "out" / name)).drop("batch_id").select(*expected.columns)
         assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))
@@ -131,5 +130,6 @@ def test_state_on_disk(spark, run):
 def test_salts_do_not_change_the_result(make_tx):
     tx = make_tx([{"timestamp": at("2025-01-15T10:00:00") + timedelta(seconds=i), "actor_id": "fraud_actor"} for i in range(50)])
     for salts in (1, 16):
-        got = st.alert_rows(tx, score_by_actor, salts=salts)
-        assert got.count() == 50 and got.select("alert_id").distinct().count() == 1
+        parents, children = sinks.split_alert_rows(st.alert_rows(tx, score_by_actor, salts=salts))
+        assert parents.first()["transaction_count"] == 50
+        assert parents.count() == 1 and children.select("transaction_id").distinct().count() == 50
