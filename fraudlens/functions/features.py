@@ -94,7 +94,7 @@ def serving_features(groups: DataFrame, consistent: bool = False) -> DataFrame:
     """
     amount = F.col("total_amount").cast("double")
     count = F.col("transaction_count")
-    first_time = F.col("first_txn.timestamp")
+    first_time = F.col("first_timestamp")
     hour = F.hour(first_time)
     if consistent:
         session = F.coalesce(F.col("session_mean_present"), F.lit(0.0))
@@ -108,7 +108,7 @@ def serving_features(groups: DataFrame, consistent: bool = False) -> DataFrame:
         session = F.col("session_total") / count
         weekday = F.weekday(first_time) + 1
         weekend = weekday.isin(6, 7)
-        payment = known_payment(F.col("first_txn.payment_method"))
+        payment = known_payment(F.col("opened_by.payment_method"))
         mismatch = F.col("any_country_mismatch")
         high_risk = F.col("any_high_risk_country")
         per_txn = amount / count

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fraudlens.functions.scoring import alert_type, detected_patterns, severity
+from fraudlens.operators.windows import window_details
 from fraudlens.schema import (
     ALERT_COLUMNS,
     ALERT_SUMMARY_COLUMNS,
@@ -63,6 +64,16 @@ def build_alerts(scored: DataFrame, threshold: int = SCORE_THRESHOLD, *extra: Co
     )
 
 
+def alerts_of(scored: DataFrame, members: DataFrame, threshold: int = SCORE_THRESHOLD) -> DataFrame:
+    """The alerts of a table, with details gathered for the windows above the threshold only.
+
+    Scoring then shuffles narrow rows, and the wide ones only where an alert needs them.
+    """
+    risky = high_risk(scored, threshold).drop("top_fraud_pattern", "fraud_patterns", "first_txn")
+    wanted = members.join(risky.select("alert_id"), "alert_id", "left_semi")
+    return build_alerts(risky.join(window_details(wanted), "alert_id"), threshold)
+
+
 def alert_children(alerts: DataFrame, members: DataFrame) -> DataFrame:
     """The transactions of each alert, one row each.
 

@@ -80,7 +80,8 @@ def scored_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def built_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return al.build_alerts(scored_windows(spark, sf_dir))
+    members = windows.window_members(adapters.transactions(spark, sf_dir), DAY)
+    return al.alerts_of(scored_windows(spark, sf_dir), members)
 
 
 _ALERT_TABLES: dict[tuple[str, str], str] = {}
@@ -624,7 +625,7 @@ def _(spark, sf_dir):
 
 def actor_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = windows.aggregate_transactions(adapters.transactions(spark, sf_dir), "actor_id")
-    return groups.withColumn("domain", F.col("first_txn.domain"))
+    return groups.withColumn("domain", F.col("opened_by.domain"))
 
 
 _SERVED = [
@@ -678,7 +679,7 @@ def _(spark, sf_dir):
 @query("payment_normalised", check(f"SELECT actor_id, {_PAYMENT} AS payment_method FROM actor_groups", "actor_groups"))
 def _(spark, sf_dir):
     return actor_groups(spark, sf_dir).select(
-        "actor_id", features.known_payment(F.col("first_txn.payment_method")).alias("payment_method")
+        "actor_id", features.known_payment(F.col("opened_by.payment_method")).alias("payment_method")
     )
 
 

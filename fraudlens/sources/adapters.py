@@ -196,7 +196,7 @@ def predictions_for(windows: DataFrame) -> DataFrame:
     A request whose first transaction has no payment method is turned down, so such
     windows have none.
     """
-    served = windows.filter(F.col("first_txn.payment_method").isNotNull())
+    served = windows.filter(F.col("opened_by.payment_method").isNotNull())
     return rule_scorer(served).select(
         "actor_id", "window_start", "confidence", "fraud_score", "model_version", "inference_time_ms"
     )

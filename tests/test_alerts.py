@@ -27,6 +27,16 @@ def test_burst_becomes_one_alert(make_tx):
     assert row["first_seen"].minute == 0 and row["last_seen"].minute == 1
 
 
+def test_details_of_risky_windows_only_give_the_same_alerts(make_tx):
+    rows = BURST + [{"timestamp": "2025-01-15T11:00:00", "actor_id": "calm"}]
+    win = scored(make_tx, rows, 95).withColumn(
+        "fraud_score", F.when(F.col("actor_id") == "calm", 10).otherwise(95)
+    )
+    direct = al.build_alerts(win)
+    later = al.alerts_of(win, windows.window_members(make_tx(rows)))
+    assert later.collect() == direct.collect() and direct.count() == 1
+
+
 @pytest.mark.parametrize("score, kept", [(30, 0), (69, 0), (70, 1)])
 def test_threshold(make_tx, score, kept):
     assert al.build_alerts(scored(make_tx, BURST, score)).count() == kept

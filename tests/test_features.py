@@ -92,7 +92,7 @@ def test_first_values_follow_time_and_skip_nulls(make_tx):
 
 
 def served(make_tx, rows, **options):
-    groups = windows.aggregate_transactions(make_tx(rows), "actor_id").withColumn("domain", F.col("first_txn.domain"))
+    groups = windows.aggregate_transactions(make_tx(rows), "actor_id").withColumn("domain", F.col("opened_by.domain"))
     return features.serving_features(groups, **options).first()
 
 
