@@ -75,6 +75,12 @@ def main() -> None:
     scoring = {} if chosen else scoring_rate(spark)
     if scoring:
         seconds["batch_scoring"] = scoring["seconds"]
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet").count()
+    rates = {
+        f"{name}_events_per_sec": round(events / seconds[name])
+        for name in ("parse_events", "minute_windows", "training_features", "serving_features", "anchored_groups")
+        if name in seconds
+    }
     print(
         json.dumps(
             {
@@ -84,6 +90,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(SF_DIR.rstrip("/")),
                 "scoring": scoring,
+                "rates": rates,
             }
         )
     )
