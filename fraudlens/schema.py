@@ -55,6 +55,7 @@ GROUPING_SECONDS = {
     "fraud_synthetic_identity": 7 * _DAY,
 }
 DEFAULT_GROUPING_SECONDS = _HOUR
+UNKNOWN_PATTERN = "UNKNOWN"
 
 FEATURE_COLUMNS = [
     "amount", "fraud_txn_count", "session_length_sec", "country_mismatch", "hour_of_day",
