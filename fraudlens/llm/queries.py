@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fraudlens.llm import line_dedup, simhash, winnowing
+from fraudlens.llm import bpe, line_dedup, line_quality, simhash, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +78,23 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BLANK = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))
 
 
+@query("op8_line_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    field = line_quality.fit(documents, table(spark, sf_dir, "labels"))
+    return line_quality.judge(documents, field).drop("content_lines")
+
+
+@query("op9_bpe_round_trip")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("tokens", 256).alias("decoded_sha256"),
+    )
+
+
 @query("op10_line_dedup", f"""
 WITH l AS (
   SELECT doc_id, n_lines, pos, line, translate(trim(line, {_BLANK}), {_LOWER}) AS key

@@ -188,7 +188,12 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     one row for each distinct text; rows that share the smallest ``doc_id`` likewise.
     """
     classes = near_duplicates(docs, shingle, max_bits)
-    keep = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    rows, kept = docs.alias("__docs"), keep.alias("__keep")
-    left = rows.join(kept, F.col("__docs.doc_id").eqNullSafe(F.col("__keep.doc_id")), "left_semi")
-    return left.dropDuplicates(["doc_id", "text"])
+    keep = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    rows = docs.alias("__docs")
+
+    def chosen(ids: DataFrame) -> DataFrame:
+        ids = ids.alias("__keep")
+        return rows.join(ids, F.col("__docs.doc_id").eqNullSafe(F.col("__keep.doc_id")), "left_semi")
+
+    # texts are compared only where rows share an id
+    return chosen(keep.where("n = 1")).union(chosen(keep.where("n > 1")).dropDuplicates(["doc_id", "text"]))
