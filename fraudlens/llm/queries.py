@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fraudlens.llm import bpe, line_dedup, line_quality, simhash, winnowing
+from fraudlens.llm import bpe, kneser_ney, line_dedup, line_quality, simhash, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_kneser_ney_scores")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    model = kneser_ney.fit(documents.where(~held_out))
+    return kneser_ney.score(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score", "perplexity",
+    )
+
+
 @query("op3_simhash_components")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
