@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fraudlens.llm import bpe, kneser_ney, line_dedup, line_quality, simhash, winnowing
+from fraudlens.llm import bpe, kneser_ney, line_dedup, line_quality, simhash, suffix_array, suffix_tree, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,42 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("bits")).alias("fingerprint"), "component_id")
 
 
+_WORD = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+@query("op4_suffix_tree_dedup", f"""
+WITH doc AS (
+  SELECT doc_id, w, len(w) AS n FROM (SELECT doc_id, {_WORD} AS w FROM documents)
+), win AS (
+  SELECT doc_id, pos, array_to_string(list_slice(w, pos, pos + 19), ' ') AS gram
+  FROM (SELECT *, unnest(range(1, n - 18)) AS pos FROM doc)
+), ranked AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY gram ORDER BY doc_id, pos) AS r FROM win
+), gone AS (
+  SELECT doc_id, list(DISTINCT p) AS ps, count(DISTINCT p) AS n_removed
+  FROM (SELECT doc_id, unnest(range(pos, pos + 20)) AS p FROM ranked WHERE r > 1) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS k
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM doc) x
+  WHERE NOT EXISTS (SELECT 1 FROM (SELECT doc_id, unnest(ps) AS p FROM gone) g WHERE g.doc_id = x.doc_id AND g.p = x.p)
+  GROUP BY doc_id
+)
+SELECT doc_id, n AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM doc LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_tree.remove_repeated_windows(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n_tokens").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_suffix_array_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_array.remove_repeated_windows(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.col("n_tokens").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _FOLDED = f"translate(coalesce(text, ''), {_LOWER})"
 _WORDS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
