@@ -4,9 +4,13 @@ A window is ``length`` consecutive tokens of one text.  Sorting every suffix of
 its size times the window length, so only suffixes that can matter are taken on:
 
 1. Of every window the k-gram with the smallest hash is an anchor, so equal windows have an anchor at
-   the same place, and few suffixes (about 2 in ``length - k``) begin at one.
-2. Anchors meet by their k-gram's hash.  Of those with equal surroundings (all windows that hold the
-   k-gram) only the earliest can hold a first occurrence; the windows of the others go.
+   the same place, and few suffixes (about 2 in ``length - k``) begin at one.  An anchor's
+   surroundings are the windows whose smallest k-gram it is.  k-grams that are frequent in a
+   bounded sample come last in the order, so a common line hardly ever gathers anchors; the order
+   only has to be the same everywhere, so no result depends on the sample.
+2. Anchors meet by their k-gram's hash.  Of those with equal surroundings only the earliest can hold
+   a first occurrence; the windows of the others go.  Tasks settle their own equal ones first, so a
+   group of copies brings one row a block.
 3. A k-gram with one kind of surroundings is settled.  Otherwise the earliest of each kind sends its
    surroundings, as text, to the exact comparison of the operator, dealt by the suffix's leading
    tokens.  A k-gram with more than ``CROWD`` kinds sends its windows one by one, dealt by
@@ -26,12 +30,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from fraudlens.llm.blocks import Block, binary, blocks, mixed, span_hashes, window_minima, words
 from fraudlens.session import fresh_path
 
-CROWD, HELD = 4096, 20_000
+CROWD, HELD, BLOCK = 4096, 10_000, 1 << 20
 FIRST_ID = -(1 << 63)
 
 
@@ -69,35 +74,79 @@ def _docs(docs: DataFrame) -> DataFrame:
 
 # --- 1: anchors -----------------------------------------------------------------
 
-ANCHORS = "gram long, around long, doc long, version long, at int, low int, high int"
+ANCHORS = "gram long, around long, doc long, version long, at int, low int, high int, settled boolean"
 PLACES = ["doc", "version", "at", "low", "high"]
+SAMPLE, FREQUENT, SLOTS = 1000, 0.01, 1 << 20
+
+
+def grams_of(values: np.ndarray, k: int) -> np.ndarray:
+    at = np.arange(max(len(values) - k + 1, 0))
+    return span_hashes(values, at, at + k, 0x9E3779B97F4A7C55)
+
+
+def frequent_grams(rows: DataFrame, alphabet: Alphabet) -> np.ndarray:
+    """Marks the slots of k-grams that at least ``FREQUENT`` of ``SAMPLE`` documents share."""
+    table, seen = np.zeros(SLOTS, bool), []
+    texts = [bytes(r[0]) for r in rows.select("text").limit(SAMPLE).collect()]
+    for block in blocks([pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"])]):
+        values, first = alphabet.values(block)
+        row = np.repeat(np.arange(len(first) - 1, dtype=np.uint64), np.diff(first))
+        grams = grams_of(values, alphabet.k) % np.uint64(SLOTS)
+        seen.append(np.unique(grams << np.uint64(32) | row[: len(grams)]) >> np.uint64(32))
+    if seen:
+        slot, count = np.unique(np.concatenate(seen), return_counts=True)
+        table[slot[count >= max(FREQUENT * len(texts), 4)]] = True
+    return table
+
+
+def _nearest_smaller(at: np.ndarray, order: np.ndarray, width: int, side: int, far: np.ndarray) -> np.ndarray:
+    """The place of the next anchor on a side that is smaller, within a window; else ``far``."""
+    out, open_, step = far.copy(), np.arange(len(at)), 1
+    while len(open_):
+        other = open_ + side * step
+        open_ = open_[(other >= 0) & (other < len(at))]
+        other = open_ + side * step
+        near = np.abs(at[other] - at[open_]) < width
+        open_, other = open_[near], other[near]
+        smaller = order[other] < order[open_]
+        out[open_[smaller]] = at[other[smaller]]
+        open_, step = open_[~smaller], step + 1
+    return out
 
 
-def anchors_of(values: np.ndarray, first: np.ndarray, length: int, k: int):
+def anchors_of(values: np.ndarray, first: np.ndarray, length: int, k: int, frequent: np.ndarray):
     """Rows, places in the row, bounds of the surroundings, and both hashes of a block's anchors."""
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    n = max(len(values) - k + 1, 0)
-    at = np.arange(n)
-    grams = span_hashes(values, at, at + k, 0x9E3779B97F4A7C55) if n else np.zeros(0, np.uint64)
-    at = window_minima(grams, length - k + 1)
+    width = length - k + 1
+    grams = grams_of(values, k)
+    order = grams >> np.uint64(1) | frequent[grams % np.uint64(SLOTS)].astype(np.uint64) << np.uint64(63)
+    at = window_minima(order, width)
     at = at[row[at] == row[at + k - 1]]
     begin, end = first[row[at]], first[row[at] + 1]
-    low, high = np.maximum(begin, at - (length - k)), np.minimum(end, at + length)
+    left = _nearest_smaller(at, order[at], width, -1, at - width)
+    right = _nearest_smaller(at, order[at], width, 1, at + width)
+    low, high = np.maximum(begin, left + 1), np.minimum(end, right - 1 + k)
     holds = high - low >= length
     at, low, high, begin = at[holds], low[holds], high[holds], begin[holds]
     around = mixed(span_hashes(values, low, high) + (at - low).astype(np.uint64))
     return row[at], at - begin, low - begin, high - begin, grams[at], around
 
 
-def _find(alphabet: Alphabet):
+def _find(alphabet: Alphabet, frequent):
     def run(batches):
-        for block in blocks(batches):
+        for block in blocks(batches, BLOCK):
             values, first = alphabet.values(block)
-            row, at, low, high, grams, around = anchors_of(values, first, alphabet.length, alphabet.k)
-            if len(row):
-                ids = [block.rows.column(i).to_numpy(zero_copy_only=False)[row] for i in (0, 1)]
-                columns = [grams.view(np.int64), around.view(np.int64), *ids, *(x.astype(np.int32) for x in (at, low, high))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "around", *PLACES])
+            row, at, low, high, grams, around = anchors_of(values, first, alphabet.length, alphabet.k, frequent.value)
+            if not len(row):
+                continue
+            doc, version = (block.rows.column(i).to_numpy(zero_copy_only=False)[row] for i in (0, 1))
+            group = np.unique(mixed(grams) ^ around, return_inverse=True)[1]
+            settled = np.zeros(len(row), bool)
+            settled[later_ones(group, doc, version, at)] = True
+            # settled rows are dealt anywhere
+            grams[settled] = mixed(mixed(doc[settled].view(np.uint64)) + at[settled].astype(np.uint64))
+            columns = [grams.view(np.int64), around.view(np.int64), doc, version, *(x.astype(np.int32) for x in (at, low, high)), settled]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "around", *PLACES, "settled"])
 
     return run
 
@@ -120,6 +169,7 @@ def _settle(batches):
             columns = [np.concatenate([k, c]) for k, c in zip(kept[0], columns)]
             lead = len(kept[0][0])
         gram, around, doc, version, at = columns[:5]
+        settled = columns[7].astype(bool)
         n = len(gram)
         new_gram, new_kind = np.ones(n, bool), np.ones(n, bool)
         new_gram[1:] = gram[1:] != gram[:-1]
@@ -135,9 +185,10 @@ def _settle(batches):
         sent = kept[1] if kept is not None else np.zeros(0, bool)
         opened[:lead] &= ~sent
         later[:lead] = False
+        later |= settled & (np.arange(n) >= lead)
         out = np.flatnonzero(later | opened)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c[out]) for c in (gram, *columns[2:])] + [pa.array(opened[out])], ["gram", *PLACES, "open"]
+            [pa.array(c[out]) for c in (gram, *columns[2:7])] + [pa.array(opened[out])], ["gram", *PLACES, "open"]
         )
         ends = np.unique([gram_first[-1], kind_first[-1]])
         was = np.zeros(n, bool)
@@ -232,8 +283,14 @@ def _compare(alphabet: Alphabet, equal_windows):
             owner, start, group = equal_windows(table.column(4).to_pylist(), alphabet.length)
             at = low[owner] + start
             gone = later_ones(group, doc[owner], version[owner], at)
-            o, s = owner[gone], at[gone].astype(np.int32)
-            columns = [doc[o], version[o], s, s + np.int32(alphabet.length)]
+            d, v, a = doc[owner[gone]], version[owner[gone]], at[gone]
+            order = np.lexsort((a, v, d))
+            d, v, a = d[order], v[order], a[order]
+            begins = np.ones(len(a), bool)  # windows that overlap make one span
+            begins[1:] = (d[1:] != d[:-1]) | (v[1:] != v[:-1]) | (a[1:] > a[:-1] + alphabet.length)
+            first = np.flatnonzero(begins)
+            last = np.append(first[1:], len(a))[: len(first)] - 1
+            columns = [d[first], v[first], a[first].astype(np.int32), (a[last] + alphabet.length).astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "version", "low", "high"])
 
     return run
@@ -244,32 +301,39 @@ def _compare(alphabet: Alphabet, equal_windows):
 CUT = "doc_id long, n_tokens long, n_removed long, n_spans long, kept binary"
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+def merged(row: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping and touching spans of a row as one."""
+    order = np.lexsort((low, row))
+    row, low, high = row[order], low[order], high[order]
+    reach = np.maximum.accumulate(row.astype(np.int64) << 32 | high)
+    begins = np.ones(len(row), bool)
+    begins[1:] = (row.astype(np.int64) << 32 | low)[1:] > reach[:-1]
+    first = np.flatnonzero(begins)
+    last = np.append(first[1:], len(row))[: len(first)] - 1
+    return row[first], low[first], (reach[last] & 0xFFFFFFFF)
 
 
 def _cut(alphabet: Alphabet):
     def run(batches):
         for batch in batches:
-            ids, sizes, removed, runs, kept = [], [], [], [], []
-            for row in batch.to_pylist():
-                tokens = alphabet.split(row["text"])
-                spans = merged([(s["low"], s["high"]) for s in row["spans"] or ()])
-                edges = [0, *(x for s in spans for x in s), len(tokens)]
-                parts = [tokens[a:b] for a, b in zip(edges[::2], edges[1::2])]
+            n, lists = batch.num_rows, batch.column(2)
+            size = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+            flat = lists.flatten()
+            row, low, high = merged(np.repeat(np.arange(n), size), flat.field(0).to_numpy(), flat.field(1).to_numpy())
+            runs = np.bincount(row, minlength=n)
+            edge = np.concatenate([[0], np.cumsum(runs)]).tolist()
+            low, high = low.tolist(), high.tolist()
+            sizes, removed, kept = [], [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                tokens = alphabet.split(text)
+                starts, ends = [0, *high[edge[i] : edge[i + 1]]], [*low[edge[i] : edge[i + 1]], len(tokens)]
+                parts = [tokens[a:b] for a, b in zip(starts, ends)]
                 left = b"".join(parts) if isinstance(tokens, bytes) else [w for p in parts for w in p]
-                ids.append(None if row["doc"] == FIRST_ID else row["doc"])
                 sizes.append(len(tokens))
                 removed.append(len(tokens) - len(left))
-                runs.append(len(spans))
                 kept.append(alphabet.joined(left))
-            columns = [pa.array(c, pa.int64()) for c in (ids, sizes, removed, runs)] + [pa.array(kept, pa.binary())]
+            doc = batch.column(0).to_numpy(zero_copy_only=False)
+            columns = [pa.array(doc, mask=doc == FIRST_ID), *(pa.array(c, pa.int64()) for c in (sizes, removed, runs)), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "n_removed", "n_spans", "kept"])
 
     return run
@@ -288,7 +352,8 @@ def without_repeats(docs: DataFrame, alphabet: Alphabet, deal, equal_windows) ->
     owner, start and group of all windows that occur more than once.
     """
     rows = _docs(docs)
-    anchors = rows.select("doc", "version", "text").mapInArrow(_find(alphabet), ANCHORS)
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_grams(rows, alphabet))
+    anchors = rows.mapInArrow(_find(alphabet, frequent), ANCHORS)
     dealt = anchors.repartition("gram").sortWithinPartitions("gram", "around", "doc", "version", "at")
     found = _stored(dealt.mapInArrow(_settle, "gram long, doc long, version long, at int, low int, high int, open boolean"), "anchors")
     opened = found.where("open")
