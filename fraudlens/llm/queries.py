@@ -10,7 +10,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fraudlens.llm import bpe, kneser_ney, line_dedup, line_quality, simhash, suffix_array, suffix_tree, winnowing
+from fraudlens.llm import (
+    bpe, kneser_ney, line_dedup, line_quality, packing, simhash, suffix_array, suffix_tree, warc, winnowing,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_packed_rows")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed rows themselves."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 @query("op2_kneser_ney_scores")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -85,6 +93,71 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: How many capture times lie between a page and the repeated visit that found it unchanged.
+REVISIT_AFTER = 5000
+
+
+def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two captures of each page: its response, and a later visit that got a 304 answer to its validator."""
+    page = table(spark, sf_dir, "pages")
+    tag = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit(""))), F.lit('"'))
+    length = F.octet_length(F.coalesce("html", F.lit(""))).cast("string")
+    response = page.select(
+        (2 * F.col("page_id")).alias("record_id"), F.lit("response").alias("type"), "url", F.col("page_id").alias("at"),
+        F.create_map(
+            F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), length, F.lit("ETag"), tag,
+            F.lit("Date"), F.concat(F.lit("t"), F.col("page_id").cast("string")),
+        ).alias("headers"),
+        F.col("html").alias("body"),
+    )
+    revisit = page.select(
+        (2 * F.col("page_id") + 1).alias("record_id"), F.lit("revisit").alias("type"), "url",
+        (F.col("page_id") + REVISIT_AFTER).alias("at"),
+        F.create_map(
+            F.lit("Content-Length"), F.lit("0"), F.lit("etag"), tag, F.lit("X-Cache"), F.lit("HIT"),
+            F.lit("Date"), F.concat(F.lit("t"), (F.col("page_id") + REVISIT_AFTER).cast("string")),
+        ).alias("headers"),
+        F.lit(None).cast("string").alias("body"),
+    )
+    return response.unionByName(revisit)
+
+
+_PARTS = r"'^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#]*)([^?#]*)(?:\?([^#]*))?'"
+
+
+@query("op6_warc_revisits", rf"""
+WITH part AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(url, {_PARTS}, 1)), ':(80|443)?$', ''), '^www\.', '') AS host,
+         regexp_replace(regexp_replace(regexp_extract(url, {_PARTS}, 2), '/+', '/', 'g'), '/$', '') AS path,
+         array_to_string(list_sort(list_filter(string_split(regexp_extract(url, {_PARTS}, 3), '&'),
+           lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid|sessionid)(=|$)'))), '&') AS q
+  FROM pages
+), page AS (
+  SELECT page_id, coalesce(html, '') AS html, '"' || md5(coalesce(html, '')) || '"' AS tag,
+         CASE WHEN host <> '' THEN host || path || CASE WHEN q <> '' THEN '?' || q ELSE '' END END AS url_key
+  FROM part
+), paired AS (
+  SELECT v.*, r.page_id AS r_id, r.html AS r_html, r.tag AS r_tag
+  FROM page v LEFT JOIN page r ON r.url_key = v.url_key AND r.page_id <= v.page_id + {REVISIT_AFTER}
+  QUALIFY row_number() OVER (PARTITION BY v.page_id ORDER BY
+    (r.page_id < v.page_id + {REVISIT_AFTER} OR 2 * r.page_id < 2 * v.page_id + 1) DESC, r.page_id DESC) = 1
+)
+SELECT 2 * page_id + 1 AS record_id, url_key, 2 * r_id AS refers_to,
+       CASE WHEN r_id IS NULL THEN 'unmatched' WHEN r_tag = tag THEN 'resolved' ELSE 'mismatch' END AS outcome,
+       CASE WHEN r_tag = tag
+         THEN 'content-length=' || strlen(r_html) || ';content-type=text/html;date=t' || (page_id + {REVISIT_AFTER}) || ';etag=' || tag
+         ELSE 'content-length=0;date=t' || (page_id + {REVISIT_AFTER}) || ';etag=' || tag || ';x-cache=HIT' END AS headers,
+       CASE WHEN r_tag = tag THEN sha256(r_html) END AS body_sha256
+FROM paired
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve_revisits(warc_records(spark, sf_dir))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.select(
+        "record_id", "url_key", "refers_to", "outcome", F.array_join(lines, ";").alias("headers"), F.sha2("body", 256).alias("body_sha256")
+    )
+
+
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _FOLDED = f"translate(coalesce(text, ''), {_LOWER})"
 _WORDS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
