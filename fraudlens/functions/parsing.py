@@ -53,8 +53,12 @@ def quarantined(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reject_reason").isNotNull()).select("raw", "reject_reason")
 
 
+# Null fields are written, so every record has the same shape.
+JSON_OPTIONS = {"timestampFormat": TIMESTAMP_FORMAT, "ignoreNullFields": "false"}
+
+
 def to_snake_json(df: DataFrame, *columns: str) -> Column:
-    return F.to_json(F.struct(*(columns or df.columns)), {"timestampFormat": TIMESTAMP_FORMAT})
+    return F.to_json(F.struct(*(columns or df.columns)), JSON_OPTIONS)
 
 
 def camel(name: str) -> str:
@@ -64,7 +68,7 @@ def camel(name: str) -> str:
 
 def to_camel_json(df: DataFrame, *columns: str) -> Column:
     fields = [F.col(c).alias(camel(c)) for c in (columns or df.columns)]
-    return F.to_json(F.struct(*fields), {"timestampFormat": TIMESTAMP_FORMAT})
+    return F.to_json(F.struct(*fields), JSON_OPTIONS)
 
 
 def parse_id_list(text: Column | str) -> Column:

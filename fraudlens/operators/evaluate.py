@@ -36,9 +36,11 @@ def top_class_weights(df: DataFrame, column: str, k: int = 5) -> DataFrame:
 
 def with_class_weight(df: DataFrame, column: str, divisor: int = CLASS_WEIGHT_DIVISOR) -> DataFrame:
     """Attach the weight of each row's class; one small row per class on the other side."""
-    weights = class_weights(df, column, divisor).select(column, "class_weight")
-    return df.join(weights, column, "left").withColumn(
-        "class_weight", F.coalesce("class_weight", F.lit(1.0))
+    weights = class_weights(df, column, divisor).select(F.col(column).alias("_class"), "class_weight")
+    return (
+        df.join(weights, F.col(column).eqNullSafe(F.col("_class")), "left")
+        .withColumn("class_weight", F.coalesce("class_weight", F.lit(1.0)))
+        .drop("_class")
     )
 
 
@@ -47,9 +49,12 @@ def confusion_counts(predicted: DataFrame, label: str = "label", prediction: str
 
 
 def confusion_matrix(
-    predicted: DataFrame, classes: list[str], label: str = "label", prediction: str = "prediction"
+    predicted: DataFrame, classes: list[str] | None = None, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
-    """The matrix in wide form: one row per label, one column per predicted class."""
+    """The matrix in wide form: one row per label, one column per predicted class.
+
+    Without ``classes`` every predicted class gets a column, so the cells add up to the rows.
+    """
     wide = predicted.groupBy(label).pivot(prediction, classes).agg(F.count(F.lit(1)))
     return wide.na.fill(0)
 

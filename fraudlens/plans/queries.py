@@ -21,6 +21,7 @@ from fraudlens.schema import (
     ALERT_SUMMARY_COLUMNS,
     DETAIL_COLUMNS,
     LABEL_SCHEMA,
+    PATTERNS,
     SCORE_THRESHOLD,
     TRANSACTION_COLUMNS,
 )
@@ -35,9 +36,6 @@ CHECKS: dict[str, str] = {}
 
 DAY = "1 day"
 
-# Small forest for the queries that fit a model; the training job defaults to the full one.
-QUICK_FOREST = {"numTrees": 20, "maxDepth": 8}
-
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
@@ -163,7 +161,8 @@ def _(spark, sf_dir):
     return rejects.groupBy("reject_reason").agg(F.count("*").alias("events"))
 
 
-_JSON_COLUMNS = ["transaction_id", "actor_id", "is_fraud", "sequence_position"]
+# All but time and money, whose text form differs between the engines; null fields included.
+_JSON_COLUMNS = [c for c in TRANSACTION_COLUMNS if c not in ("timestamp", "amount")]
 
 
 @query(
@@ -818,7 +817,7 @@ def _(spark, sf_dir):
     return evaluate.confusion_counts(classified(spark, sf_dir))
 
 
-_MATRIX_CLASSES = ["regular", "fraud_card_testing", "fraud_account_takeover"]
+_MATRIX_CLASSES = ["regular", *sorted({p for names in PATTERNS.values() for p in names if not p.startswith("regular_")})]
 
 
 @query(
@@ -999,7 +998,7 @@ def _fitted(spark: SparkSession, sf_dir: str, path: str):
     sinks.write_features(
         features.training_features(rollup.actor_rollup(adapters.transactions(spark, sf_dir))), feats
     )
-    return training.train(spark, feats, f"{path}/model", **QUICK_FOREST)
+    return training.train(spark, feats, f"{path}/model")
 
 
 @query("train_and_score")
@@ -1035,7 +1034,7 @@ def _(spark, sf_dir):
     training.build_training_set(
         lb.label_table(grouped(spark, sf_dir)), adapters.transactions(spark, sf_dir), f"{path}/training"
     )
-    rows = training.training_chain(spark, f"{path}/training", path, **QUICK_FOREST)
+    rows = training.training_chain(spark, f"{path}/training", path)
     return rows.select("actor_id", "fraud_type", "confidence", "fraud_score")
 
 

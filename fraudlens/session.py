@@ -22,7 +22,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a folder of its own.
+    Only a local session without that setting (a test) gets a folder of its own; on a cluster the
+    executors could not read one.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -33,6 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
     else:
         root = context.getCheckpointDir()
         if root is None:
+            if not context.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="fraudlens-")
             context.setCheckpointDir(root)
     return root

@@ -43,10 +43,14 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.json(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with header, quoted fields that may hold quotes and line breaks."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+    """CSV with header and quoted fields.
+
+    With ``multi_line`` fields may hold line breaks and each file is read by one task; files
+    known to have none should be read without it, so that they can be split.
+    """
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    reader = reader.option("multiLine", True)
+    reader = reader.option("multiLine", multi_line)
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
     return reader.csv(path)
 

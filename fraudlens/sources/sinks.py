@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from fraudlens.functions.parsing import TIMESTAMP_FORMAT, to_snake_json
+from fraudlens.functions.parsing import JSON_OPTIONS, TIMESTAMP_FORMAT, to_snake_json
 
 
 def write_by_domain(df: DataFrame, path: str) -> None:
@@ -24,7 +24,7 @@ def write_labels_csv(labels: DataFrame, path: str) -> None:
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("timestampFormat", TIMESTAMP_FORMAT).json(path)
+    df.write.mode("overwrite").options(**JSON_OPTIONS).json(path)
 
 
 def write_events(df: DataFrame, target: str, sink: str = "kafka", topic: str = "all-transactions") -> None:

@@ -49,6 +49,17 @@ def test_weights(spark):
     assert evaluate.top_classes(df, "p", 1).first()["p"] == "a"
 
 
+def test_rows_without_a_class_have_its_weight(spark):
+    df = spark.createDataFrame([("a",)] * 3 + [(None,)], "p string")
+    weights = {r["p"]: r["class_weight"] for r in evaluate.with_class_weight(df, "p").collect()}
+    assert weights == {"a": 4 / 48, None: 4 / 16}
+
+
+def test_the_whole_matrix_adds_up(predicted):
+    wide = evaluate.confusion_matrix(predicted)
+    assert sum(r[c] for r in wide.collect() for c in wide.columns[1:]) == predicted.count()
+
+
 def test_labels_out_of_range_are_unknown(spark):
     df = spark.createDataFrame([(0.0,), (2.0,)], "i double")
     assert [r[0] for r in df.select(scoring.decode_label("i", ["x", "y"])).collect()] == ["x", "unknown"]
