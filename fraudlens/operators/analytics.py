@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fraudlens.functions.scoring import minute_label
 
+# Most buckets of a domain that one task puts in order.
+SEGMENT = 100_000
+
 
 def velocity_buckets(alerts: DataFrame, bucket_seconds: int = 5) -> DataFrame:
     """Alerts and mean score per domain and time bucket since the first alert.
@@ -44,22 +47,54 @@ def trend_status(current: Column, previous_sum: Column, previous_rows: Column) -
     )
 
 
+def _running(buckets: DataFrame, bucket_seconds: int) -> DataFrame:
+    """Buckets with their number (from 1) and running count per domain.
+
+    A segment is a stretch of time with at most ``SEGMENT`` buckets.  Segments are added up
+    separately and shifted by the totals of the domain's earlier ones, of which there are few.
+    """
+    cell = F.floor(F.col("x") / (bucket_seconds * SEGMENT)).alias("_segment")
+    rows = buckets.select("domain", "x", "y1_velocity", "y2_avg_score", cell)
+    inside = Window.partitionBy("domain", "_segment").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("domain").orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        rows.groupBy("domain", "_segment")
+        .agg(F.count("*").alias("_rows"), F.sum("y1_velocity").alias("_alerts"))
+        .select(
+            F.col("domain").alias("_domain"), F.col("_segment").alias("_cell"),
+            *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("_rows", "_alerts")],
+        )
+    )
+    own = rows.select(
+        "*", F.row_number().over(inside).alias("_number"), F.sum("y1_velocity").over(inside).alias("_sum")
+    )
+    same = F.col("domain").eqNullSafe(F.col("_domain")) & (F.col("_segment") == F.col("_cell"))
+    return own.join(before, same).select(
+        "domain", "x", "y1_velocity", "y2_avg_score",
+        (F.col("_number") + F.col("_rows_before")).alias("_place"),
+        (F.col("_sum") + F.col("_alerts_before")).alias("y3_cumulative"),
+    )
+
+
 def velocity(alerts: DataFrame, bucket_seconds: int = 5, trend_rows: int = 1) -> DataFrame:
     """Velocity series per domain: count, mean score, running count and trend.
 
     ``trend_rows=1`` compares with the previous bucket; a larger value with the mean of
-    that many previous buckets.  The ordered windows run over bucket rows, whose number
-    is bounded by the time span and not by the alerts.
+    that many previous buckets.  Their sum is a difference of two running counts, so each bucket
+    meets the one ``trend_rows + 1`` places before it in an equi-join on (domain, place); no
+    task orders a whole domain.
     """
-    ordered = Window.partitionBy("domain").orderBy("x")
-    recent = ordered.rowsBetween(-trend_rows, -1)
-    status = trend_status(
-        F.col("y1_velocity"), F.sum("y1_velocity").over(recent), F.count("y1_velocity").over(recent)
+    series = _running(velocity_buckets(alerts, bucket_seconds), bucket_seconds)
+    start = series.select(
+        F.col("domain").alias("_domain"), (F.col("_place") + trend_rows + 1).alias("_at"),
+        F.col("y3_cumulative").alias("_start"),
     )
-    return velocity_buckets(alerts, bucket_seconds).select(
-        "domain", "x", "y1_velocity", "y2_avg_score",
-        F.sum("y1_velocity").over(ordered).alias("y3_cumulative"),
-        status.alias("trend_status"),
+    same = F.col("domain").eqNullSafe(F.col("_domain")) & (F.col("_place") == F.col("_at"))
+    previous_rows = F.least(F.col("_place") - 1, F.lit(trend_rows))
+    previous_sum = F.col("y3_cumulative") - F.col("y1_velocity") - F.coalesce("_start", F.lit(0))
+    status = trend_status(F.col("y1_velocity"), F.when(F.col("_place") > 1, previous_sum), previous_rows)
+    return series.join(start, same, "left").select(
+        "domain", "x", "y1_velocity", "y2_avg_score", "y3_cumulative", status.alias("trend_status")
     )
 
 

@@ -66,3 +66,21 @@ def test_last_points_per_domain_and_summary(make_alerts):
 
 def test_no_alerts(make_alerts):
     assert analytics.velocity(make_alerts([])).count() == 0
+
+
+@pytest.mark.parametrize("trend_rows", [1, 3])
+def test_segments_do_not_change_the_series(make_alerts, monkeypatch, trend_rows):
+    """With two buckets a segment, with gaps and a domain that starts late, as with one segment."""
+    rows = [(d, 60 * (i * i % 97) + late, 70 + i % 30) for d, late in (("gaming", 0), ("fintech", 4000)) for i in range(60)]
+    whole = analytics.velocity_ordered(make_alerts(rows), 60, trend_rows=trend_rows).collect()
+    monkeypatch.setattr(analytics, "SEGMENT", 2)
+    assert analytics.velocity_ordered(make_alerts(rows), 60, trend_rows=trend_rows).collect() == whole
+    gaming = [r for r in whole if r["domain"] == "gaming"]
+    for i, r in enumerate(gaming):
+        before = [x["y1_velocity"] for x in gaming[max(0, i - trend_rows) : i]]
+        mean = sum(before) / len(before) if before else None
+        expected = (
+            "BASELINE" if mean is None else "SPIKE" if r["y1_velocity"] > 1.5 * mean
+            else "TRENDING_UP" if r["y1_velocity"] > 1.1 * mean else "STABLE"
+        )
+        assert (r["trend_status"], r["y3_cumulative"]) == (expected, sum(x["y1_velocity"] for x in gaming[: i + 1]))
