@@ -72,7 +72,7 @@ CTES = {
              WHEN fraud_score >= 60 THEN 'MEDIUM' ELSE 'LOW' END AS severity FROM (
         SELECT *, CAST(trunc(CAST((CAST(total_amount * 100 AS BIGINT) * 7 + transaction_count * 13) % 100 AS DOUBLE)
             / 100 * 100) AS INTEGER) AS fraud_score, 'rule-v1' AS model_version, 1 AS inference_time_ms
-        FROM win WHERE window_end <= (SELECT max(timestamp) FROM tx) - INTERVAL 30 SECOND) w""",
+        FROM win) w""",
     "alerts": """SELECT alert_id, alert_type, domain, actor_id, severity, fraud_score, transaction_count,
         CAST(total_amount AS DOUBLE) AS total_amount, window_start AS first_seen, window_end AS last_seen,
         CAST(window_seconds AS BIGINT) AS window_seconds,
@@ -149,7 +149,7 @@ CTES = {
 _NEEDS = {
     "arrived": ["tx"], "day_tx": ["tx"], "first_rows": ["day_tx"], "top_pattern": ["day_tx"],
     "totals": ["day_tx"], "win": ["totals", "first_rows", "top_pattern"], "pred": ["win"],
-    "scored": ["win", "pred"], "stream_scored": ["win", "tx"], "alerts": ["scored"],
+    "scored": ["win", "pred"], "stream_scored": ["win"], "alerts": ["scored"],
     "members": ["day_tx"], "children": ["members", "alerts"], "rollup": ["tx"],
     "order_rollup": ["order_tx"], "actor_groups": ["tx"], "seq": ["tx"], "walked": ["seq"],
     "grouped": ["tx", "walked"], "labels_table": ["grouped"], "classified": ["tx"],
@@ -171,8 +171,11 @@ def velocity_cte(name: str, seconds: int, trend_rows: int = 1) -> tuple[str, str
               WINDOW r AS (PARTITION BY domain ORDER BY x ROWS BETWEEN {trend_rows} PRECEDING AND 1 PRECEDING)) v"""
 
 
-def check(select: str, *uses: str, extra: dict[str, str] | None = None) -> str:
-    """``select`` preceded by the expressions it uses, in dependency order."""
+def check(select: str, *uses: str, extra: dict[str, str] | None = None, accepted_only: bool = False) -> str:
+    """``select`` preceded by the expressions it uses, in dependency order.
+
+    ``accepted_only``: of the transactions only those whose record arrives undamaged.
+    """
     ordered: list[str] = []
 
     def need(name: str) -> None:
@@ -183,6 +186,10 @@ def check(select: str, *uses: str, extra: dict[str, str] | None = None) -> str:
 
     for name in uses:
         need(name)
-    parts = [f"{n} AS ({CTES[n]})" for n in ordered]
+    ctes = CTES
+    if accepted_only:
+        ordered.insert(0, "sent")
+        ctes = {**CTES, "sent": TRANSACTIONS_SQL, "tx": f"SELECT * FROM sent WHERE CASE {_REASON} END IS NULL"}
+    parts = [f"{n} AS ({ctes[n]})" for n in ordered]
     parts += [f"{n} AS ({q})" for n, q in (extra or {}).items()]
     return f"WITH RECURSIVE {', '.join(parts)} {select}"

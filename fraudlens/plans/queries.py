@@ -924,35 +924,33 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.transactions_from(events)
 
 
-@query(
-    "stream_windows",
-    check(
-        f"SELECT {_WINDOW_COLUMNS} FROM win WHERE window_end <= (SELECT max(timestamp) FROM tx) - INTERVAL 30 SECOND",
-        "win", "tx",
-    ),
-)
+@query("stream_windows", check(f"SELECT {_WINDOW_COLUMNS} FROM win", "win"))
 def _(spark, sf_dir):
     path = fresh_path(spark, "stream_windows")
-    closed = alert_stream.windows_of(_event_stream(spark, sf_dir), DAY).select(*_WINDOW_NAMES)
-    job = (
-        closed.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", f"{path}/checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{path}/windows")
-    )
-    job.awaitTermination()
+    alert_stream.keep_state_on_disk(spark)
+
+    def start(tx: DataFrame):
+        closed = alert_stream.windows_of(tx, DAY).select(*_WINDOW_NAMES)
+        writer = closed.writeStream.format("parquet").outputMode("append")
+        writer = writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
+        return writer.start(f"{path}/windows")
+
+    stored = adapters.transactions(spark, sf_dir)
+    alert_stream.run_to_end(_event_stream(spark, sf_dir), stored, start, f"{path}/closing", DAY)
     return spark.read.parquet(f"{path}/windows")
 
 
 def _run_alert_job(spark: SparkSession, sf_dir: str, scorer, threshold: int = SCORE_THRESHOLD) -> str:
     """Stream the events into the alert tables; returns their folder."""
     path = fresh_path(spark, "stream_alerts")
-    rows = alert_stream.alert_rows(_event_stream(spark, sf_dir), scorer, DAY, threshold=threshold)
-    job = alert_stream.start_alert_job(
-        rows, sinks.parquet_alert_sink(path), f"{path}/checkpoint", {"availableNow": True}
-    )
-    job.awaitTermination()
+
+    def start(tx: DataFrame):
+        rows = alert_stream.alert_rows(tx, scorer, DAY, threshold=threshold)
+        sink = sinks.parquet_alert_sink(path)
+        return alert_stream.start_alert_job(rows, sink, f"{path}/checkpoint", {"availableNow": True})
+
+    stored = adapters.transactions(spark, sf_dir)
+    alert_stream.run_to_end(_event_stream(spark, sf_dir), stored, start, f"{path}/closing", DAY)
     return path
 
 
@@ -962,18 +960,45 @@ _STREAM_ALERT = [
 ]
 
 
+_STREAM_ALERT_SQL = """SELECT alert_id, alert_type, severity, fraud_score, transaction_count,
+    CAST(total_amount AS DOUBLE) AS total_amount, window_start AS first_seen, window_end AS last_seen,
+    patterns_detected, model_version, payment_method, ip_address FROM stream_scored WHERE fraud_score >= 70"""
+
+
+@query("stream_alerts", check(_STREAM_ALERT_SQL, "stream_scored"))
+def _(spark, sf_dir):
+    path = _run_alert_job(spark, sf_dir, adapters.rule_scorer)
+    return spark.read.parquet(f"{path}/fraud_alerts").select(*_STREAM_ALERT)
+
+
+def _run_json_job(spark: SparkSession, sf_dir: str) -> str:
+    """The whole job from JSON records; returns its folder."""
+    path = fresh_path(spark, "stream_job")
+    adapters.raw_events(spark, sf_dir).write.text(f"{path}/records")
+    raw = files.event_stream(spark, f"{path}/records", source="text")
+    alert_stream.run_alert_job(raw, adapters.rule_scorer, sinks.parquet_alert_sink(path), path, DAY)
+    return path
+
+
+@query("stream_job_alerts", check(_STREAM_ALERT_SQL, "stream_scored", accepted_only=True))
+def _(spark, sf_dir):
+    return spark.read.parquet(f"{_run_json_job(spark, sf_dir)}/fraud_alerts").select(*_STREAM_ALERT)
+
+
 @query(
-    "stream_alerts",
+    "stream_quarantine",
     check(
-        """SELECT alert_id, alert_type, severity, fraud_score, transaction_count,
-        CAST(total_amount AS DOUBLE) AS total_amount, window_start AS first_seen, window_end AS last_seen,
-        patterns_detected, model_version, payment_method, ip_address FROM stream_scored WHERE fraud_score >= 70""",
-        "stream_scored",
+        "SELECT reject_reason, count(*) AS events FROM arrived WHERE reject_reason IS NOT NULL GROUP BY 1",
+        "arrived",
     ),
 )
 def _(spark, sf_dir):
-    path = _run_alert_job(spark, sf_dir, adapters.rule_scorer)
-    return spark.read.parquet(f"{path}/fraud_alerts").select(*_STREAM_ALERT)
+    path = fresh_path(spark, "stream_landing")
+    adapters.raw_events(spark, sf_dir).write.text(f"{path}/records")
+    raw = files.event_stream(spark, f"{path}/records", source="text")
+    job = alert_stream.start_landing(raw, f"{path}/landed", f"{path}/checkpoint", {"availableNow": True})
+    job.awaitTermination()
+    return alert_stream.quarantine(spark, f"{path}/landed").groupBy("reject_reason").agg(F.count("*").alias("events"))
 
 
 @query(

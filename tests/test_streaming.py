@@ -133,3 +133,37 @@ def test_salts_do_not_change_the_result(make_tx):
         parents, children = sinks.split_alert_rows(st.alert_rows(tx, score_by_actor, salts=salts))
         assert parents.first()["transaction_count"] == 50
         assert parents.count() == 1 and children.select("transaction_id").distinct().count() == 50
+
+
+def test_whole_job_keeps_damaged_records_and_closes_the_last_window(spark, tmp_path):
+    """No later record comes, yet the burst's window leaves; every record is landed or quarantined."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.json").write_text("\n".join([*BURST, "{broken", event(7, None, "2025-01-15T10:00:10Z")]))
+    raw = files.event_stream(spark, str(tmp_path / "in"), source="text")
+    out = str(tmp_path / "out")
+    st.run_alert_job(raw, score_by_actor, sinks.parquet_alert_sink(out), out)
+    (alert,) = spark.read.parquet(f"{out}/fraud_alerts").collect()
+    assert alert["transaction_count"] == 3
+    assert spark.read.parquet(f"{out}/suspicious_transactions").count() == 3
+    assert st.landed(spark, f"{out}/landed").count() == 3
+    rejects = {r["reject_reason"]: r["raw"] for r in st.quarantine(spark, f"{out}/landed").collect()}
+    assert set(rejects) == {"malformed", "missing_actor"} and rejects["malformed"] == "{broken"
+
+
+def test_whole_job_without_an_end(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.json").write_text("\n".join(BURST))
+    raw = files.event_stream(spark, str(tmp_path / "in"), source="text")
+    out = str(tmp_path / "out")
+    landing, job = st.start_jobs(raw, score_by_actor, sinks.parquet_alert_sink(out), out, trigger={"processingTime": "1 second"})
+    try:
+        for name, lines in (("b", [event(8, "x", FAR)]), ("c", [event(9, "x", FAR)])):
+            landing.processAllAvailable()
+            job.processAllAvailable()
+            (tmp_path / f"in/{name}.json").write_text("\n".join(lines))
+        landing.processAllAvailable()
+        job.processAllAvailable()
+    finally:
+        landing.stop()
+        job.stop()
+    assert spark.read.parquet(f"{out}/fraud_alerts").first()["transaction_count"] == 3
