@@ -149,6 +149,24 @@ def alerts_page(
     )
 
 
+def alerts_envelope(
+    alerts: DataFrame, domain: str | None = None, severity: str | None = None, page: int = 1, limit: int = 10
+) -> DataFrame:
+    """One row: the page's alerts in order (``items``), the total under the filters, page and limit.
+
+    A page past the end has no items and the same total.
+    """
+    rows = alerts_page(alerts, domain, severity, page, limit)
+    # The struct starts with what the page is ordered by; ``limit`` bounds the list.
+    key = ["last_seen", "alert_id"]
+    item = F.struct(*key, *[c for c in ALERT_SUMMARY_COLUMNS if c not in key])
+    return rows.agg(F.sort_array(F.collect_list(item), asc=False).alias("items")).select(
+        "items",
+        alert_total(filter_alerts(alerts, domain, severity)).scalar().alias("total"),
+        F.lit(page).alias("page"), F.lit(limit).alias("limit"),
+    )
+
+
 def alert_feed(alerts: DataFrame, k: int = 10) -> DataFrame:
     return _newest_first(alerts).limit(k).select(
         "alert_id", "domain", "actor_id", "alert_type", "total_amount", "severity", "fraud_score"

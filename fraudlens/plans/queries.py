@@ -458,6 +458,31 @@ def _(spark, sf_dir):
     return al.alerts_page(stored_alerts(spark, sf_dir), domain="gaming", severity="high", page=2)
 
 
+@query(
+    "alerts_empty_page",
+    check(
+        "SELECT 0 AS items, count(*) AS total, 10000 AS page FROM alerts WHERE domain = 'gaming'", "alerts"
+    ),
+)
+def _(spark, sf_dir):
+    page = al.alerts_envelope(stored_alerts(spark, sf_dir), domain="gaming", page=10_000)
+    return page.select(F.size("items").alias("items"), "total", "page")
+
+
+@query(
+    "alerts_envelope",
+    check(
+        """SELECT string_agg(alert_id, ',' ORDER BY last_seen DESC, alert_id DESC) AS ids,
+        (SELECT count(*) FROM alerts) AS total, 2 AS page FROM (
+        SELECT * FROM alerts ORDER BY last_seen DESC, alert_id DESC LIMIT 10 OFFSET 10) p""",
+        "alerts",
+    ),
+)
+def _(spark, sf_dir):
+    page = al.alerts_envelope(stored_alerts(spark, sf_dir), page=2)
+    return page.select(F.array_join("items.alert_id", ",").alias("ids"), "total", "page")
+
+
 @query(
     "alerts_keyset_page",
     check(
@@ -712,15 +737,35 @@ def _(spark, sf_dir):
 
 
 @query(
-    "label_explode_join",
+    "label_ids",
     check(
-        """SELECT l.alert_id, l.transaction_id AS fraud_alert_txn_id, l.actor_id AS fraud_actor_id,
-        l.amount AS fraud_total_amount, l.transaction_count AS fraud_txn_count, l.timestamp AS fraud_first_seen,
-        l.pattern AS fraud_pattern, g.transaction_id AS related_txn_id, g.domain, CAST(g.amount AS DOUBLE) AS amount
-        FROM labels_table l JOIN grouped g ON g.group_id = l.alert_id""",
-        "labels_table",
+        """SELECT group_id AS alert_id, row_number() OVER (PARTITION BY group_id ORDER BY timestamp, transaction_id) - 1
+        AS position, transaction_id FROM grouped""",
+        "grouped",
     ),
 )
+def _(spark, sf_dir):
+    return lb.label_ids(grouped(spark, sf_dir))
+
+
+_LABELLED_SQL = check(
+    """SELECT l.alert_id, l.transaction_id AS fraud_alert_txn_id, l.actor_id AS fraud_actor_id,
+    l.amount AS fraud_total_amount, l.transaction_count AS fraud_txn_count, l.timestamp AS fraud_first_seen,
+    l.pattern AS fraud_pattern, g.transaction_id AS related_txn_id, g.domain, CAST(g.amount AS DOUBLE) AS amount
+    FROM labels_table l JOIN grouped g ON g.group_id = l.alert_id""",
+    "labels_table",
+)
+
+
+@query("label_members", _LABELLED_SQL)
+def _(spark, sf_dir):
+    return lb.label_members(grouped(spark, sf_dir)).select(
+        "alert_id", "fraud_alert_txn_id", "fraud_actor_id", "fraud_total_amount", "fraud_txn_count",
+        "fraud_first_seen", "fraud_pattern", "related_txn_id", "domain", "amount",
+    )
+
+
+@query("label_explode_join", _LABELLED_SQL)
 def _(spark, sf_dir):
     table = lb.label_table(grouped(spark, sf_dir))
     joined = training.build_training_set(table, adapters.transactions(spark, sf_dir))

@@ -129,3 +129,12 @@ def test_detail_keeps_alerts_without_transactions(stored):
 def test_pages_are_taken_without_a_full_sort(stored):
     plan = al.alerts_page(stored[0])._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "CartesianProduct" not in plan
+
+
+def test_envelope_holds_rows_and_total_together(stored):
+    alerts, _ = stored
+    page = al.alerts_envelope(alerts, domain="gaming", page=1, limit=2).first()
+    assert [i["actor_id"] for i in page["items"]] == ["A4", "A3"]
+    assert (page["total"], page["page"], page["limit"]) == (3, 1, 2)
+    past = al.alerts_envelope(alerts, domain="gaming", page=9, limit=2).first()
+    assert (past["items"], past["total"], past["page"]) == ([], 3, 9)
