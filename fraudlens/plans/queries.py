@@ -1063,7 +1063,7 @@ def _(spark, sf_dir):
 
 
 def _fitted(spark: SparkSession, sf_dir: str, path: str):
-    """Features and a small model, trained on this data and saved below ``path``."""
+    """Features and a model of the published size, trained on this data and saved below ``path``."""
     feats = f"{path}/features"
     sinks.write_features(
         features.training_features(rollup.actor_rollup(adapters.transactions(spark, sf_dir))), feats
@@ -1077,6 +1077,27 @@ def _(spark, sf_dir):
     return training.score_groups(actor_groups(spark, sf_dir), training.model_scorer(model))
 
 
+@query(
+    "scored_actor_totals",
+    check(
+        """SELECT actor_id, n AS transactions_analyzed, round(amount, 2) AS total_amount,
+        round((epoch_us(last_ts) - epoch_us(first_ts)) / 1e6, 2) AS time_window_sec,
+        true AS score_follows_confidence, true AS known_class FROM actor_groups""",
+        "actor_groups",
+    ),
+)
+def _(spark, sf_dir):
+    """What SQL can say about scored actors: one row each, their totals, score and class in order."""
+    model = _fitted(spark, sf_dir, fresh_path(spark, "train"))
+    rows = training.score_groups(actor_groups(spark, sf_dir), training.model_scorer(model))
+    follows = F.col("fraud_score") == F.floor(F.col("confidence") * 100)
+    return rows.select(
+        "actor_id", "transactions_analyzed", "total_amount", "time_window_sec",
+        follows.alias("score_follows_confidence"),
+        F.col("fraud_type").isin(training.model_labels(model)).alias("known_class"),
+    )
+
+
 @query("single_actor_score")
 def _(spark, sf_dir):
     model = _fitted(spark, sf_dir, fresh_path(spark, "train"))
