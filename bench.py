@@ -55,13 +55,19 @@ def run(frame) -> None:
 
 
 def scoring_rate(spark: SparkSession) -> dict:
-    """Score every (actor, day) group with a saved model in one job."""
+    """Score every (actor, day) group with a saved model in one job, and one actor from its transactions."""
     path = q.fresh_path(spark, "bench")
     model = q._fitted(spark, SF_DIR, path)
     groups = q.daily_windows(spark, SF_DIR)
     rows = groups.count()
-    seconds = timed(lambda: run(training.score_groups(groups, training.model_scorer(model))))
-    return {"rows": rows, "seconds": seconds, "predictions_per_min": round(rows / seconds * 60)}
+    scorer = training.model_scorer(model)
+    seconds = timed(lambda: run(training.score_groups(groups, scorer)))
+    actors = q.actor_groups(spark, SF_DIR)
+    single = timed(lambda: training.score_actor(actors, scorer, "A1").collect())
+    return {
+        "rows": rows, "seconds": seconds, "predictions_per_min": round(rows / seconds * 60),
+        "single_actor_seconds": single, "single_actor_per_min": round(60 / single),
+    }
 
 
 def main() -> None:

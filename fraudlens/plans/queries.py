@@ -961,6 +961,12 @@ def _(spark, sf_dir):
     return reports.rows_per_partition(adapters.transactions(spark, sf_dir))
 
 
+@query("partition_totals", check("SELECT CAST(count(*) AS BIGINT) AS rows, true AS none_empty FROM tx", "tx"))
+def _(spark, sf_dir):
+    parts = reports.rows_per_partition(adapters.transactions(spark, sf_dir))
+    return parts.agg(F.sum("rows").alias("rows"), (F.min("rows") > 0).alias("none_empty"))
+
+
 # --- Streaming --------------------------------------------------------------------------------
 
 
