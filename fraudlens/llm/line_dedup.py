@@ -42,13 +42,20 @@ def exploded(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def without_lines(lines: Column, cuts: Column) -> Column:
-    """``lines`` without the positions in the sorted array ``cuts``; time linear in both."""
-    def piece(k: Column) -> Column:
-        start = F.when(k == 0, F.lit(0)).otherwise(F.get(cuts, k - 1) + 1)
-        end = F.coalesce(F.get(cuts, k), F.size(lines))
-        return F.slice(lines, start + 1, end - start)
+    """``lines`` without the positions in the sorted array ``cuts``; time linear in both.
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(cuts)), piece))
+    What a lambda takes from outside is computed again for every element, so the lines go in as the
+    one element of an outer array: the text is split once, not once a cut.
+    """
+    def pieces(own: Column) -> Column:
+        def piece(k: Column) -> Column:
+            start = F.when(k == 0, F.lit(0)).otherwise(F.get(cuts, k - 1) + 1)
+            end = F.coalesce(F.get(cuts, k), F.size(own))
+            return F.slice(own, start + 1, end - start)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(cuts)), piece))
+
+    return F.flatten(F.transform(F.array(lines), pieces))
 
 
 def mark_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
