@@ -13,8 +13,9 @@ its size times the window length, so only suffixes that can matter are taken on:
    group of copies brings one row a block.
 3. A k-gram with one kind of surroundings is settled.  Otherwise the earliest of each kind sends its
    surroundings, as text, to the exact comparison of the operator, dealt by the suffix's leading
-   tokens.  A k-gram with more than ``CROWD`` kinds sends its windows one by one, dealt by
-   all their tokens.
+   tokens.  A k-gram with more than ``CROWD`` kinds sends its windows one by one: such a prefix is
+   as long as a window, so equal windows are one key, and their earliest place is a minimum that
+   tasks combine before the shuffle.  However often a window occurs, it is gathered nowhere.
 4. What each document loses comes back as spans, and the texts are cut.
 
 Order is (doc_id, hash of the text, position); a null ``doc_id`` comes first.  Rows that share id and text
@@ -198,6 +199,7 @@ def _settle(batches):
 
 # --- 3: surroundings as text ----------------------------------------------------
 
+#: ``text`` is null where ``lead`` is a whole window.
 TEXTS = "lead binary, doc long, version long, low int, text binary"
 
 
@@ -210,8 +212,7 @@ def _surroundings(alphabet: Alphabet):
                 for p in row["places"]:
                     if p["crowded"]:
                         for s in range(p["low"], p["high"] - alphabet.length + 1):
-                            part = alphabet.joined(tokens[s : s + alphabet.length])
-                            rows.append((part, row["doc"], row["version"], s, part))
+                            rows.append((alphabet.joined(tokens[s : s + alphabet.length]), row["doc"], row["version"], s, None))
                     else:
                         lead = alphabet.joined(tokens[p["at"] : p["at"] + alphabet.k])
                         rows.append((lead, row["doc"], row["version"], p["low"], alphabet.joined(tokens[p["low"] : p["high"]])))
@@ -296,6 +297,14 @@ def _compare(alphabet: Alphabet, equal_windows):
     return run
 
 
+def later_windows(windows: DataFrame, length: int) -> DataFrame:
+    """Spans of the windows ``lead`` that also start earlier; only minima meet by key, the rest is joined."""
+    place = F.struct("doc", "version", "low")
+    earliest = windows.groupBy("lead").agg(F.min(place).alias("earliest"))
+    later = windows.join(earliest, "lead").where(place != F.col("earliest"))
+    return later.select("doc", "version", "low", (F.col("low") + length).alias("high"))
+
+
 # --- 4: cutting -----------------------------------------------------------------
 
 CUT = "doc_id long, n_tokens long, n_removed long, n_spans long, kept binary"
@@ -364,9 +373,8 @@ def without_repeats(docs: DataFrame, alphabet: Alphabet, deal, equal_windows) ->
     by_doc = wanted.groupBy("doc", "version").agg(F.collect_list("place").alias("places"))
     asked = rows.join(by_doc, ["doc", "version"]).select("doc", "version", "text", "places")
     texts = _stored(asked.mapInArrow(_surroundings(alphabet), TEXTS), "surroundings")
-    compared = deal(texts).mapInArrow(_compare(alphabet, equal_windows), SPANS)
-    spans = found.where("not open").select("doc", "version", "low", "high").union(compared)
+    compared = deal(texts.where("text is not null")).mapInArrow(_compare(alphabet, equal_windows), SPANS)
+    crowded = later_windows(texts.where("text is null"), alphabet.length)
+    spans = found.where("not open").select("doc", "version", "low", "high").union(compared).union(crowded)
     lost = spans.groupBy("doc", "version").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     return rows.join(lost, ["doc", "version"], "left").select("doc", "text", "spans").mapInArrow(_cut(alphabet), CUT)
-
-
