@@ -10,8 +10,9 @@ The benchmark is a query set: it is taken in blocks of at most ``block_words`` w
 
 Defined cases: a null or empty text has no words and no hits; items without words or with a null
 text match nothing; an item of fewer words than a window is one window; equal windows of several
-items count for each of them; repeated rows are judged one by one; a null ``doc_id`` stays null;
-an empty benchmark leaves all documents clean.
+items count for each of them; items that share an ``item_id``, or have none, all match and are named
+once; repeated documents are judged one by one; a null ``doc_id`` stays null; an empty benchmark
+leaves all documents clean.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ BLOCK_WORDS = 1_000_000
 
 
 class Index(NamedTuple):
-    names: list[str]  # item ids
+    names: list[str | None]  # item ids
     text: bytes  # the items' words, each followed by one space
     start: np.ndarray
     end: np.ndarray
@@ -63,7 +64,7 @@ def fingerprints(hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.nd
     return at, grams[at]
 
 
-def build_index(items: list[tuple[str, bytes]]) -> Index:
+def build_index(items: list[tuple[str | None, bytes]]) -> Index:
     folded = [FOLD[np.frombuffer(text, np.uint8)].tobytes().split() for _, text in items]
     text = b"".join(word + b" " for item in folded for word in item)
     sizes = np.array([len(x) for x in folded], np.int64)
@@ -88,7 +89,7 @@ def build_index(items: list[tuple[str, bytes]]) -> Index:
 
 def index_blocks(items: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Index]:
     """Indexes of consecutive items, each of at most ``block_words`` words (or one item)."""
-    rows = items.select(F.col("item_id").cast("string"), F.col("text").cast("string").cast("binary")).dropna()
+    rows = items.select(F.col("item_id").cast("string"), F.col("text").cast("string").cast("binary").alias("text")).where("text is not null")
     held, size = [], 0
     for name, text in rows.toLocalIterator():
         n = len(FOLD[np.frombuffer(text, np.uint8)].tobytes().split())
@@ -153,15 +154,15 @@ def _find(index):
             by_row: dict[int, list] = {}
             for row, a, b in spans:
                 by_row.setdefault(row, []).append((a, b))
-            items: dict[int, list] = {}
+            items: dict[int, dict] = {}
             for row, item in sorted(pairs):
-                items.setdefault(row, []).append(index.value.names[item])
+                items.setdefault(row, {})[index.value.names[item]] = True
             n = len(counts)
             yield pa.RecordBatch.from_arrays(
                 [
                     block.rows.column(0), block.rows.column(2), pa.array(counts, pa.int64()),
                     pa.array([[{"start": a, "end": b} for a, b in _merged(by_row.get(i, []))] for i in range(n)], _SPANS),
-                    pa.array([items.get(i, []) for i in range(n)], pa.list_(pa.string())),
+                    pa.array([list(items.get(i, ())) for i in range(n)], pa.list_(pa.string())),
                 ],
                 ["doc_id", "version", "n_words", "spans", "items"],
             )
