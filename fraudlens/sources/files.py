@@ -43,11 +43,11 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.json(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
     """CSV with header and quoted fields.
 
-    With ``multi_line`` fields may hold line breaks and each file is read by one task; files
-    known to have none should be read without it, so that they can be split.
+    Files are split between tasks.  Only with ``multi_line`` may fields hold line breaks; each
+    file is then read by one task.
     """
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
     reader = reader.option("multiLine", multi_line)
@@ -62,15 +62,16 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def read_alerts_jdbc(
     spark: SparkSession,
     url: str,
+    bounds: tuple,
     table: str = "fraud_alerts",
-    partition_column: str | None = None,
-    bounds: tuple | None = None,
+    partition_column: str = "last_seen",
     partitions: int = 32,
     **properties: str,
 ) -> DataFrame:
-    """Alerts table over JDBC, split on ``partition_column`` between ``bounds``."""
-    if partition_column is None:
-        return spark.read.jdbc(url, table, properties=properties)
+    """Alerts table over JDBC, split on ``partition_column`` between ``bounds``.
+
+    Rows outside the bounds are read too, by the first and the last task.
+    """
     low, high = bounds
     return spark.read.jdbc(
         url, table, column=partition_column, lowerBound=low, upperBound=high,

@@ -1,3 +1,5 @@
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 import pytest
@@ -65,6 +67,21 @@ def test_only_new_rows_are_appended(rows):
     assert [r["transaction_id"] for r in new.collect()] == ["TXN004"]
 
 
+def test_keys_are_read_back_for_the_times_of_a_batch():
+    low, high = datetime(2025, 1, 15, 10), datetime(2025, 1, 15, 11, 0, 3, 5)
+    assert sinks.stored_keys("t", ["a", "b"], "seen", low, high) == (
+        "(SELECT a, b FROM t WHERE seen BETWEEN '2025-01-15 10:00:00.000000' AND '2025-01-15 11:00:03.000005') stored"
+    )
+
+
+def test_lookup_pushes_the_id_into_sorted_files(spark, rows, tmp_path):
+    parents, children = sinks.split_alert_rows(rows)
+    sinks.write_alert_tables(parents, children, str(tmp_path))
+    stored = files.read_parquet(spark, f"{tmp_path}/suspicious_transactions").filter("alert_id = 'x'")
+    assert "EqualTo(alert_id,x)" in stored._jdf.queryExecution().executedPlan().toString()
+    assert counts(spark, tmp_path) == (2, 5)
+
+
 def test_patterns_as_text(spark):
     df = spark.createDataFrame([(["a", "b"],), ([],)], "patterns_detected array<string>")
     assert [r[0] for r in sinks.flat_patterns(df).collect()] == ["a,b", ""]
@@ -74,7 +91,7 @@ def test_label_file_roundtrip(spark, make_tx, tmp_path):
     tx = make_tx([{"timestamp": "2025-01-15T10:00:00", "ip_address": 'a "quoted",\nline'}] * 2)
     table = lb.label_table(lb.anchored_groups(tx)).select(*LABEL_SCHEMA.fieldNames())
     sinks.write_labels_csv(table, str(tmp_path / "l"))
-    back = files.read_csv(spark, str(tmp_path / "l"), LABEL_SCHEMA)
+    back = files.read_csv(spark, str(tmp_path / "l"), LABEL_SCHEMA, multi_line=True)
     assert [tuple(r) for r in back.collect()] == [tuple(r) for r in table.collect()]
     assert "related_transaction_ids" in files.read_csv(spark, str(tmp_path / "l")).columns
 
