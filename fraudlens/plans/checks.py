@@ -13,7 +13,7 @@ from fraudlens.schema import (
     KNOWN_PAYMENT_METHODS,
     PATTERNS,
 )
-from fraudlens.sources.adapters import DAMAGE, ORDER_TRANSACTIONS_SQL, TRANSACTIONS_SQL
+from fraudlens.sources.adapters import DAMAGE, ORDER_TRANSACTIONS_SQL, TRANSACTIONS_SQL, VISITS_SQL
 
 _RISKY = ", ".join(f"'{c}'" for c in HIGH_RISK_COUNTRIES)
 _KNOWN = ", ".join(f"'{p}'" for p in KNOWN_PAYMENT_METHODS)
@@ -145,13 +145,20 @@ CTES = {
     "catalogue": f"SELECT * FROM (VALUES {_CATALOGUE}) v(pattern, domain)",
 }
 
+CTES["visits"] = VISITS_SQL
+CTES["visit_rollup"] = CTES["order_rollup"].replace("CAST(0 AS DOUBLE)", "avg(session_length_sec)").replace("order_tx", "visits")
+CTES["day_groups"] = (
+    CTES["actor_groups"].replace("SELECT actor_id,", "SELECT actor_id, window_start,").replace("sum(amount)", "sum(amount * 100)")
+    .replace("FROM tx GROUP BY actor_id", "FROM day_tx GROUP BY actor_id, window_start")
+)
+
 # What each expression reads.
 _NEEDS = {
     "arrived": ["tx"], "day_tx": ["tx"], "first_rows": ["day_tx"], "top_pattern": ["day_tx"],
     "totals": ["day_tx"], "win": ["totals", "first_rows", "top_pattern"], "pred": ["win"],
     "scored": ["win", "pred"], "stream_scored": ["win"], "alerts": ["scored"],
     "members": ["day_tx"], "children": ["members", "alerts"], "rollup": ["tx"],
-    "order_rollup": ["order_tx"], "actor_groups": ["tx"], "seq": ["tx"], "walked": ["seq"],
+    "order_rollup": ["order_tx"], "visit_rollup": ["visits"], "day_groups": ["day_tx"], "actor_groups": ["tx"], "seq": ["tx"], "walked": ["seq"],
     "grouped": ["tx", "walked"], "labels_table": ["grouped"], "classified": ["tx"],
     "per_class": ["classified"], "metrics": ["per_class"], "velocity": ["alerts"],
 }

@@ -647,6 +647,12 @@ def _(spark, sf_dir):
     return features.training_features(rollup.actor_rollup(adapters.order_transactions(spark, sf_dir)))
 
 
+@query("training_features_visits", _training_check("visit_rollup"))
+def _(spark, sf_dir):
+    """Every flag takes both values here."""
+    return features.training_features(rollup.actor_rollup(adapters.visits(spark, sf_dir)))
+
+
 def actor_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = windows.aggregate_transactions(adapters.transactions(spark, sf_dir), "actor_id")
     return groups.withColumn("domain", F.col("opened_by.domain"))
@@ -660,17 +666,20 @@ _SERVED = [
 ]
 
 
-def _serving_check(session: str, mismatch: str, risky: str, weekday: str, weekend: str, per: str, pay: str) -> str:
+def _serving_check(
+    session: str, mismatch: str, risky: str, weekday: str, weekend: str, per: str, pay: str,
+    keys: str = "actor_id", source: str = "actor_groups",
+) -> str:
     night = "(hour(first_ts) < 6 OR hour(first_ts) > 22)"
     return check(
-        f"""SELECT actor_id, domain, amount, n AS fraud_txn_count, {session} AS session_length_sec,
+        f"""SELECT {keys}, domain, amount, n AS fraud_txn_count, {session} AS session_length_sec,
         {mismatch} AS country_mismatch, {risky} AS involves_high_risk_country,
         (amount >= 9500 AND amount < 10000)::INT AS is_near_threshold, ({session} < 120)::INT AS is_rapid_session,
         {weekend}::INT AS is_weekend, ({night} AND {session} < 120)::INT AS night_rapid_combo,
         hour(first_ts)::INT AS hour_of_day, ({weekday})::INT AS day_of_week, {per} AS amount_per_txn,
         amount / ({session} + 1) AS session_efficiency, {pay} AS payment_method,
-        (epoch_us(last_ts) - epoch_us(first_ts)) / 1e6 AS time_delta_sec FROM actor_groups""",
-        "actor_groups",
+        (epoch_us(last_ts) - epoch_us(first_ts)) / 1e6 AS time_delta_sec FROM {source}""",
+        source,
     )
 
 
@@ -689,6 +698,20 @@ def _(spark, sf_dir):
     return features.serving_features(actor_groups(spark, sf_dir)).select(*_SERVED)
 
 
+@query(
+    "serving_features_windows",
+    _serving_check(
+        "mean_session", "any_mismatch", "any_risky", "isodow(first_ts)", "(isodow(first_ts) >= 6)",
+        "amount / n", _PAYMENT, "actor_id, window_start", "day_groups",
+    ),
+)
+def _(spark, sf_dir):
+    """Of daily windows, with amounts in hundredths: every flag takes both values here."""
+    tx = adapters.transactions(spark, sf_dir)
+    minor = tx.withColumn("amount", (F.col("amount") * 100).cast(tx.schema["amount"].dataType))
+    return features.serving_features(windows.tumbling_windows(minor, DAY)).select(_SERVED[0], "window_start", *_SERVED[1:])
+
+
 @query(
     "serving_features_consistent",
     _serving_check(

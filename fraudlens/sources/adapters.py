@@ -227,8 +227,27 @@ ORDER_TRANSACTIONS_SQL = (
 )
 
 
+# Orders as visits: with an hour and a session, so that every feature flag takes both values.
+_VISIT_EXPRS = {
+    "timestamp": "ordered_at + (order_id % 24) * INTERVAL '1' HOUR",
+    "amount": "CAST(floor(units / 3) AS DECIMAL(15,2))",
+    "session_length_sec": "CASE WHEN order_id % 10 <> 0 THEN CAST((customer_id + order_id) % 30 * 8 AS INT) END",
+}
+_VISITS = {**dict(_ORDER_EXPRS), **_VISIT_EXPRS}
+VISITS_SQL = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in _VISITS.items()) + f" FROM ({_ORDERS_STAGED_SQL}) o"
+
+
 def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their customer's nation, without session columns."""
+    return _staged_orders(spark, sf_dir).select(*[F.expr(e).alias(n) for n, e in _ORDER_EXPRS])
+
+
+def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with an hour and a session length."""
+    return _staged_orders(spark, sf_dir).select(*[F.expr(e).alias(n) for n, e in _VISITS.items()])
+
+
+def _staged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
@@ -236,7 +255,7 @@ def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).join(
         nation, customer["c_nationkey"] == nation["n_nationkey"]
     )
-    staged = joined.select(
+    return joined.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.floor(F.col("o_totalprice") / 50).alias("units"),
@@ -245,4 +264,3 @@ def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("nation_id"),
         F.col("n_regionkey").alias("region_id"),
     )
-    return staged.select(*[F.expr(e).alias(n) for n, e in _ORDER_EXPRS])
