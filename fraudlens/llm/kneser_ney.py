@@ -1,26 +1,31 @@
-"""An interpolated modified Kneser-Ney bigram model, counted in Spark.
+"""Interpolated modified Kneser-Ney models of any order from 2, counted in Spark.
 
-Counting: tasks combine the pairs (previous word, word) of their documents and send them to buckets
-of the previous word's hash; a bucket merges the counts, writes its pairs, and sends how many
-different words precede each word to the buckets of those words.  Groups that meet in a bucket
-have one entry a task for each pair, so a very frequent pair or word does not gather rows.
+Counting: a first pass counts the words, in buckets of their 64-bit hashes; a word's id is its rank by
+hash.  Tasks then combine the n-grams of their documents and send them, sorted, to buckets that are
+ranges of (last word before, the one before that, ..., word).  The ranges follow from the words' counts
+(see ``bucket_of``) and cut a frequent context by its next words, so neither a word nor a context gathers
+in one bucket, and their number follows from the tokens.  A bucket writes its n-grams and sends each
+without its first word to the next lower order's buckets, where the numbers of different first words
+add up; pairs send how many different words precede each word.
 
-The model is a folder of sorted 64-bit hash arrays, one set of files a bucket, with counts beside
-the hashes.  Workers map the files into memory and look up the sorted hashes of their block.  The
-folder must lie on a file system that all workers mount (a ``file:`` or plain path).
+The model is a folder of sorted arrays of ids, for each order and bucket a trie with counts at its
+leaves.  Workers map the files into memory.  The folder must lie on a file system that all workers
+mount (a ``file:`` or plain path).  Contexts that a bucket's bounds cut are few; their sums are in the model.
 
-p(w|v) = max(c(vw) - D(c(vw)), 0) / c(v) + g(v) p(w), with three discounts from the counts of counts;
-p(w) is built the same way from the numbers of different predecessors, and its remaining mass is
-spread evenly over the vocabulary and one unknown word, so probabilities sum to one.
+p(w|uv) = max(c(uvw) - D(c(uvw)), 0) / c(uv) + g(uv) p(w|v), with three discounts an order from the counts
+of counts; lower orders are built the same way from the numbers of different predecessors, and the mass
+that remains below the words is spread evenly over the vocabulary and one unknown word, so probabilities
+sum to one.  A context that was not seen leaves its word to the next lower order.
 
 Words are runs without white space, A-Z in lower case; each text ends with one end token and begins
-after a start mark.  Defined cases: a null or empty text is the end token alone; repeated rows count
-as often as they occur; a null ``doc_id`` is kept; with nothing to learn from, every token has the
+after ``order - 1`` start marks.  Defined cases: a null or empty text is the end token alone; repeated rows
+count as often as they occur; a null ``doc_id`` is kept; with nothing to learn from, every token has the
 probability of the unknown word; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -30,29 +35,37 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fraudlens.llm.blocks import IS_SPACE, STEP, Block, blocks, documents, mixed, span_hashes, words
+from fraudlens.llm.blocks import IS_SPACE, Block, blocks, documents, span_hashes, words
 from fraudlens.session import fresh_path
 
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
-#: Pairs a task gathers before it combines them, and bytes of text it scores at a time.
+#: Tokens a task gathers before it combines them (and a bucket has on average at most), and bytes of text it scores at a time.
 GATHERED, SCORED = 3_000_000, 8 << 20
+#: Contexts with more next words than this have their sums stored.
+FEW = 8
 TOP = np.uint64(48)
+#: Files a worker holds open.
+OPEN = 600
 
 
 class Model(NamedTuple):
     path: str
+    order: int
     buckets: int
+    sizes: list[int]  # words and tokens of the words' buckets
+    masses: list[int]
     tokens: int
     vocabulary: int
     pairs: int
-    discounts: tuple[tuple[float, ...], tuple[float, ...]]  # of pairs, of single words; by count 0 to 3+
+    discounts: tuple[tuple[float, ...], ...]  # from the highest order to single words; by count 0 to 3+
     rest: float  # mass of the even distribution
+    cut: dict[int, dict[tuple[int, ...], tuple[int, ...]]]  # by order: sums of contexts that lie in several buckets
 
 
 class Tokens(NamedTuple):
     word: np.ndarray
-    before: np.ndarray
+    place: np.ndarray  # in its text
     row: np.ndarray
 
 
@@ -62,87 +75,112 @@ def tokens(block: Block) -> Tokens:
     n = len(block.offsets) - 1
     word = np.full(len(found.start) + n, END)
     word[np.arange(len(found.start)) + found.row] = span_hashes(data, found.start, found.end)
-    before = np.empty_like(word)
-    before[1:] = word[:-1]
-    before[found.first[:-1] + np.arange(n)] = START
-    return Tokens(word, before, np.repeat(np.arange(n), np.diff(found.first) + 1))
+    size = np.diff(found.first) + 1
+    return Tokens(word, np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size), np.repeat(np.arange(n), size))
 
 
-def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hashes of pairs whose top 16 bits are those of the first word's hash."""
-    low = mixed(mixed(before + STEP) ^ word)
-    return (before >> TOP << TOP) | (low & np.uint64((1 << 48) - 1))
+def grams(word: np.ndarray, place: np.ndarray, start: int, order: int) -> list[np.ndarray]:
+    """Columns of every token's n-gram: the word before, the one before that, ..., the token."""
+    out = []
+    for back in range(1, order):
+        column = np.empty_like(word)
+        column[back:] = word[:-back]
+        column[place < back] = start
+        out.append(column)
+    return [*out, word]
 
 
-def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Buckets of equal ranges of the top 16 bits."""
-    return ((hashes >> TOP).astype(np.int64) * buckets) >> 16
+def bucket_of(starts: list[np.ndarray], sizes: list[np.ndarray], total: int, buckets: int, last=None) -> np.ndarray:
+    """Buckets of n-grams from the tokens before and of each column's word in the order of ids.
 
+    A word has the share of the range that it has of the tokens, and within it a next word likewise.  All steps
+    keep the order of the columns, also where they round.  ``last`` is a place (0 to 1) instead of the last column.
+    """
+    at = starts[-1] / total if last is None else last
+    for start, size in zip(starts[-2::-1], sizes[-2::-1]):
+        at = (start + size * at) / total
+    return np.minimum((at * buckets).astype(np.int64), buckets - 1)
+
+
+def _ordered(columns: list[np.ndarray], words: int) -> np.ndarray:
+    """The order of rows by their columns of ids below ``words``; several columns make one key where they fit."""
+    bits, keys = max(int(words).bit_length(), 1), []
+    for i in range(0, len(columns), 64 // bits):
+        key = np.zeros(len(columns[0]), np.uint64)
+        for column in columns[i : i + 64 // bits]:
+            key = key << np.uint64(bits) | column.astype(np.uint64)
+        keys.append(key)
+    return np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
 
-def _bytes(*arrays: np.ndarray) -> list[bytes]:
-    return [np.ascontiguousarray(a).tobytes() for a in arrays]
+
+def _fresh(columns: list[np.ndarray]) -> np.ndarray:
+    """Which rows differ from the one before."""
+    out = np.zeros(len(columns[0]), bool)
+    out[:1] = True
+    for column in columns:
+        out[1:] |= column[1:] != column[:-1]
+    return out
 
 
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, starts) if len(starts) else np.zeros(0, np.int64)
 
 
-def _combined(before: np.ndarray, word: np.ndarray, count: np.ndarray):
-    """Distinct pairs in order of (before, word) with their counts."""
-    order = np.lexsort((word, before))
-    before, word = before[order], word[order]
-    fresh = np.ones(len(word), bool)
-    fresh[1:] = (before[1:] != before[:-1]) | (word[1:] != word[:-1])
-    return before[fresh], word[fresh], _sums(count[order], np.flatnonzero(fresh))
+def _combined(columns: list[np.ndarray], count: np.ndarray, words: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows in order with their counts."""
+    order = _ordered(columns, words)
+    columns = [c[order] for c in columns]
+    begin = np.flatnonzero(_fresh(columns))
+    return [c[begin] for c in columns], _sums(count[order], begin)
 
 
-_SENT = "bucket int, kind int, a binary, b binary, c binary, d binary"
-_NAMES = ["bucket", "kind", "a", "b", "c", "d"]
+_SENT = "bucket int, a binary"
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
-    columns = list(zip(*rows)) if rows else [()] * 6
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], _NAMES)
+def _rows(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "a"])
 
 
-def _count(buckets: int):
-    def send(held: list[Tokens]) -> Iterator[pa.RecordBatch]:
-        before, word, count = _combined(
-            np.concatenate([t.before for t in held]), np.concatenate([t.word for t in held]),
-            np.ones(sum(len(t.word) for t in held), np.int64),
-        )
-        # a count above 255 goes as several entries, which the bucket adds up
-        times = (count + 254) // 255
-        before, word = np.repeat(before, times), np.repeat(word, times)
-        ends = np.cumsum(times) - 1
-        small = np.full(len(word), 255, np.int64)
-        small[ends] = count - 255 * (times - 1)
-        cuts = np.searchsorted(bucket_of(before, buckets), np.arange(buckets + 1))
-        for b in range(buckets):
-            a, z = cuts[b], cuts[b + 1]
-            if a < z:
-                own = before[a:z]
-                begin = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                runs = np.diff(np.append(begin, z - a)).astype(np.uint32)
-                yield _rows([(b, 0, *_bytes(own[begin], runs, word[a:z], small[a:z].astype(np.uint8)))])
+def _packed(columns: list[np.ndarray]) -> bytes:
+    """Columns of 32 bits, as differences where all columns before are equal; bytes of the same rank together."""
+    out, same = [], np.ones(len(columns[0]), bool)
+    same[:1] = False
+    for column in columns:
+        value = column.astype(np.uint32)
+        step = value.copy()
+        step[1:] -= np.where(same[1:], value[:-1], np.uint32(0))
+        out.append(step)
+        same[1:] &= value[1:] == value[:-1]
+    planes = np.stack(out).view(np.uint8).reshape(len(out), -1, 4).transpose(0, 2, 1).tobytes()
+    return len(columns[0]).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(planes, asbytes=True)
 
-    def run(batches):
-        held, size = [], 0
-        for block in blocks(batches):
-            held.append(tokens(block))
-            size += len(held[-1].word)
-            if size >= GATHERED:
-                yield from send(held)
-                held, size = [], 0
-        if held:
-            yield from send(held)
 
-    return run
+def _unpacked(data: bytes, width: int) -> list[np.ndarray]:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], 4 * n * width, asbytes=True), np.uint8)
+    steps = np.ascontiguousarray(planes.reshape(width, 4, n).transpose(0, 2, 1)).view(np.uint32)[:, :, 0]
+    out, begin = [], np.zeros(1, np.int64)
+    for step in steps:
+        total = np.cumsum(step, dtype=np.uint32)
+        before = np.concatenate([np.zeros(1, np.uint32), total])[begin]
+        value = total - np.repeat(before, np.diff(np.append(begin, n)))
+        out.append(value)
+        fresh = np.zeros(n, bool)
+        fresh[begin] = True
+        fresh[1:] |= value[1:] != value[:-1]
+        begin = np.flatnonzero(fresh)
+    return out
+
+
+def _sent(columns: list[np.ndarray], count: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sorted rows, to the buckets they are for."""
+    cuts = np.append(np.flatnonzero(_fresh([bucket])), len(bucket))
+    for a, z in zip(cuts, cuts[1:]):
+        yield _rows([(int(bucket[a]), _packed([*(c[a:z] for c in columns), count[a:z]]))])
 
 
-def _by_bucket(batches) -> Iterator[tuple[int, list[dict]]]:
-    """The rows of each bucket; a partition is sorted by bucket."""
+def _by_bucket(batches) -> Iterator[tuple[int, list[bytes]]]:
+    """What was sent to each bucket; a partition is sorted by bucket."""
     bucket, held = None, []
     for batch in batches:
         for row in batch.to_pylist():
@@ -150,15 +188,11 @@ def _by_bucket(batches) -> Iterator[tuple[int, list[dict]]]:
                 yield bucket, held
                 held = []
             bucket = row["bucket"]
-            held.append(row)
+            held.append(row["a"])
     if held:
         yield bucket, held
 
 
-def _array(rows: list[dict], name: str, dtype) -> np.ndarray:
-    return np.concatenate([np.frombuffer(r[name], dtype) for r in rows]) if rows else np.zeros(0, dtype)
-
-
 def _write(path: str, array: np.ndarray) -> None:
     """Whole or not at all, so a repeated task leaves the same file."""
     part = f"{path}.{os.getpid()}"
@@ -170,57 +204,191 @@ def _counts_of_counts(values: np.ndarray) -> np.ndarray:
     return np.bincount(np.minimum(values, 5), minlength=6)[1:5]
 
 
-def _merge_pairs(path: str, buckets: int):
+def _gathered(batches) -> Iterator[list[Tokens]]:
+    held, size = [], 0
+    for block in blocks(batches):
+        held.append(tokens(block))
+        size += len(held[-1].word)
+        if size >= GATHERED:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+# --- Words -----------------------------------------------------------------------
+
+
+def _count_words(buckets: int):
     def run(batches):
-        for bucket, rows in _by_bucket(batches):
-            before, word, count = _combined(
-                np.repeat(_array(rows, "a", np.uint64), _array(rows, "b", np.uint32)),
-                _array(rows, "c", np.uint64), _array(rows, "d", np.uint8).astype(np.int64),
-            )
-            keys = pair_keys(before, word)
-            order = np.argsort(keys, kind="stable")
-            _write(f"{path}/pairs-{bucket}", keys[order])
-            sorted_count = count[order]
-            _write(f"{path}/counts-{bucket}", np.minimum(sorted_count, 255).astype(np.uint8))
-            large = np.flatnonzero(sorted_count >= 255)
-            _write(f"{path}/large-{bucket}", np.stack([large, sorted_count[large]], axis=1).astype(np.int64))
-            begin = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
-            kinds = [_sums((count == k if k < 3 else count >= 3).astype(np.int64), begin) for k in (1, 2, 3)]
-            spread = np.stack([_sums(count, begin), *kinds], axis=1)
-            totals = np.concatenate([[len(word)], _counts_of_counts(count)])
-            yield _rows([(bucket, 1, *_bytes(before[begin], spread, totals, np.zeros(0)))])
-            unique, followed = np.unique(word, return_counts=True)
-            cuts = np.searchsorted(bucket_of(unique, buckets), np.arange(buckets + 1))
-            for b in range(buckets):
-                if cuts[b] < cuts[b + 1]:
-                    part = slice(cuts[b], cuts[b + 1])
-                    yield _rows([(b, 2, *_bytes(unique[part], followed[part].astype(np.uint32), np.zeros(0), np.zeros(0)))])
+        for held in _gathered(batches):
+            found, count = np.unique(np.concatenate([t.word for t in held]), return_counts=True)
+            # texts begin as often as they end
+            if (ends := count[found == END]).size:
+                at = np.searchsorted(found, START)
+                found, count = np.insert(found, at, START), np.insert(count, at, ends[0])
+            cuts = np.searchsorted(((found >> TOP).astype(np.int64) * buckets) >> 16, np.arange(buckets + 1))
+            for b in np.flatnonzero(np.diff(cuts)).tolist():
+                part = slice(cuts[b], cuts[b + 1])
+                yield _rows([(b, found[part].tobytes() + count[part].astype(np.int64).tobytes())])
 
     return run
 
 
 def _merge_words(path: str):
     def run(batches):
-        for bucket, rows in _by_bucket(batches):
-            own, heard = [r for r in rows if r["kind"] == 1], [r for r in rows if r["kind"] == 2]
-            hashes = np.concatenate([_array(own, "a", np.uint64), _array(heard, "a", np.uint64)])
-            stats = np.zeros((len(hashes), 5), np.int64)
-            first = len(_array(own, "a", np.uint64))
-            stats[:first, :4] = _array(own, "b", np.int64).reshape(-1, 4)
-            stats[first:, 4] = _array(heard, "b", np.uint32)
-            order = np.argsort(hashes, kind="stable")
-            hashes = hashes[order]
-            begin = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
-            hashes, stats = hashes[begin], np.add.reduceat(stats[order], begin, axis=0) if len(begin) else stats
-            if stats[:, 1:].max(initial=0) >= 1 << 32:
+        for bucket, sent in _by_bucket(batches):
+            word = np.concatenate([np.frombuffer(a, np.uint64, len(a) // 16) for a in sent])
+            count = np.concatenate([np.frombuffer(a, np.int64, len(a) // 16, len(a) // 2) for a in sent])
+            order = np.argsort(word, kind="stable")
+            begin = np.flatnonzero(_fresh([word[order]]))
+            word, count = word[order][begin], _sums(count[order], begin)
+            _write(f"{path}/words-{bucket}", word)
+            _write(f"{path}/mass-{bucket}", np.concatenate([[0], np.cumsum(count)]))
+            sums = [bucket, len(word), int(count.sum()), int(count[word == START].sum())]
+            yield pa.RecordBatch.from_arrays([pa.array([sums], pa.list_(pa.int64()))], ["sums"])
+
+    return run
+
+
+class Files:
+    """The mapped files of a folder, opened as they are needed."""
+
+    def __init__(self, path: str):
+        self.path, self.open = path, {}
+
+    def file(self, name: str, dtype, width: int = 1) -> np.ndarray:
+        if name not in self.open:
+            path = f"{self.path}/{name}"
+            size = os.path.getsize(path) if os.path.exists(path) else 0  # a bucket may be empty
+            data = np.memmap(path, dtype, "r") if size else np.zeros(0, dtype)
+            if len(self.open) >= OPEN:
+                self.open.pop(next(iter(self.open)))
+            self.open[name] = data.reshape(-1, width) if width > 1 else data
+        return self.open[name]
+
+
+class Lexicon(Files):
+    """Ids of words, their ranks by hash, and how many tokens have a smaller id."""
+
+    def __init__(self, path: str, sizes: list[int], masses: list[int]):
+        super().__init__(path)
+        self.buckets = len(sizes)
+        self.first, self.mass = (np.concatenate([[0], np.cumsum(x, dtype=np.int64)]) for x in (sizes, masses))
+        self.words, self.total = int(self.first[-1]), max(int(self.mass[-1]), 1)
+
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        """Of sorted hashes; -1 for an unknown word."""
+        out = np.full(len(hashes), -1)
+        cuts = np.searchsorted(((hashes >> TOP).astype(np.int64) * self.buckets) >> 16, np.arange(self.buckets + 1))
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
+            part = slice(cuts[b], cuts[b + 1])
+            keys = self.file(f"words-{b}", np.uint64)
+            at = np.searchsorted(keys, hashes[part])
+            there = at < len(keys)
+            there[there] = keys[at[there]] == hashes[part][there]
+            out[part][there] = self.first[b] + at[there]
+        return out
+
+    def parts(self, ids: np.ndarray) -> Iterator[tuple[int, slice, np.ndarray]]:
+        """For sorted ids: bucket, which of them, places in its files."""
+        cuts = np.searchsorted(ids, self.first)
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
+            part = slice(cuts[b], cuts[b + 1])
+            yield b, part, ids[part] - self.first[b]
+
+    def weights(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of sorted ids: tokens before and of the word."""
+        start, size = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        for b, part, at in self.parts(ids):
+            mass = self.file(f"mass-{b}", np.int64)
+            start[part], size[part] = self.mass[b] + mass[at], mass[at + 1] - mass[at]
+        return start, size
+
+    def weighed(self, columns: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        unique = np.unique(np.concatenate([np.unique(c) for c in columns])).astype(np.int64)
+        weights = self.weights(unique)
+        at = [np.searchsorted(unique, c) for c in columns]
+        return [weights[0][a] for a in at], [weights[1][a] for a in at]
+
+
+# --- N-grams ---------------------------------------------------------------------
+
+
+def _count(place: tuple, order: int, buckets: int):
+    def run(batches):
+        lexicon = Lexicon(*place)
+        for held in _gathered(batches):
+            word = np.concatenate([*(t.word for t in held), [START]])
+            unique, word = np.unique(word, return_inverse=True)
+            ids = lexicon.ids(unique)
+            if ids.min() < 0:
+                raise ValueError("the documents changed between two passes")
+            word = ids[word].astype(np.uint32)
+            columns = grams(word[:-1], np.concatenate([t.place for t in held]), word[-1], order)
+            columns, count = _combined(columns, np.ones(len(word) - 1, np.int64), lexicon.words)
+            yield from _sent(columns, count, bucket_of(*lexicon.weighed(columns), lexicon.total, buckets))
+
+    return run
+
+
+def _merge(place: tuple, buckets: int, order: int, top: int):
+    """Writes the n-grams of one order, and sends what the next lower one counts."""
+    def run(batches):
+        lexicon = Lexicon(*place)
+        for bucket, sent in _by_bucket(batches):
+            parts = [_unpacked(a, order + 1) for a in sent]
+            columns = [np.concatenate(c) for c in zip(*parts)]
+            del parts, sent
+            columns, count = _combined(columns[:-1], columns[-1].astype(np.int64), lexicon.words)
+            name = lambda kind: f"{place[0]}/{kind}-{order}-{bucket}"  # noqa: E731, B023
+            below = np.arange(len(count))
+            for depth in range(order - 1, -1, -1):  # from the leaves up
+                begin = np.flatnonzero(_fresh(columns[: depth + 1])) if depth < order - 1 else below
+                _write(name(f"ids{depth}"), columns[depth][begin])
+                if depth < order - 1:
+                    _write(name(f"at{depth}"), np.append(np.searchsorted(below, begin), len(below)).astype(np.uint32))
+                if depth == order - 2:
+                    contexts = begin
+                below = begin
+            _write(name("counts"), np.minimum(count, 255).astype(np.uint8))
+            large = np.flatnonzero(count >= 255)
+            _write(name("large"), np.stack([large, count[large]], axis=1))
+            kinds = [_sums((count == k if k < 3 else count >= 3).astype(np.int64), contexts) for k in (1, 2, 3)]
+            stats = np.stack([_sums(count, contexts), *kinds], axis=1)
+            many = np.flatnonzero(stats[:, 1:].sum(axis=1) > FEW)
+            _write(name("many"), np.column_stack([many, stats[many]]))
+            weights = lexicon.weighed(columns)
+            own = [[x[contexts] for x in w] for w in weights]
+            cut = np.flatnonzero(bucket_of(*own, lexicon.total, buckets, 0.0) != bucket_of(*own, lexicon.total, buckets, 1.0))
+            said = {
+                "counts": _counts_of_counts(count).tolist(), "grams": len(count),
+                "cut": [([int(c[contexts[i]]) for c in columns[:-1]], stats[i].tolist()) for i in cut],
+            }
+            _write(name("said"), np.frombuffer(json.dumps(said).encode(), np.uint8))
+            if order > 2:
+                columns = [*columns[:-2], columns[-1]]
+                columns, count = _combined(columns, np.ones(len(count), np.int64), lexicon.words)
+                yield from _sent(columns, count, bucket_of(*lexicon.weighed(columns), lexicon.total, buckets))
+            else:
+                word, count = np.unique(columns[-1], return_counts=True)
+                yield from _sent([word], count, np.searchsorted(lexicon.first, word, "right") - 1)
+
+    return run
+
+
+def _merge_heard(place: tuple):
+    def run(batches):
+        lexicon = Lexicon(*place)
+        for bucket, sent in _by_bucket(batches):
+            heard = np.zeros(lexicon.first[bucket + 1] - lexicon.first[bucket], np.int64)
+            for a in sent:
+                word, count = _unpacked(a, 2)
+                heard[word - lexicon.first[bucket]] += count
+            if heard.max(initial=0) >= 1 << 32:
                 raise OverflowError("a word has more than 2**32 different neighbours")
-            _write(f"{path}/words-{bucket}", hashes)
-            _write(f"{path}/totals-{bucket}", stats[:, 0])
-            _write(f"{path}/spread-{bucket}", stats[:, 1:].astype(np.uint32))
-            pairs = _array(own, "c", np.int64).reshape(-1, 5).sum(axis=0)
-            real = (hashes != START) & (hashes != END)
-            begun = int(stats[hashes == START, 0].sum())
-            sums = [int(stats[:, 0].sum()), int((real & (stats[:, 0] > 0)).sum()), begun, *pairs.tolist(), *_counts_of_counts(stats[:, 4][stats[:, 4] > 0]).tolist(), int((stats[:, 4] >= 3).sum())]
+            _write(f"{place[0]}/heard-{bucket}", heard.astype(np.uint32))
+            sums = [*_counts_of_counts(heard[heard > 0]).tolist(), int((heard >= 3).sum())]
             yield pa.RecordBatch.from_arrays([pa.array([sums], pa.list_(pa.int64()))], ["sums"])
 
     return run
@@ -240,92 +408,176 @@ def discounts(counts: list[int]) -> tuple[float, ...]:
     return tuple(out)
 
 
-def fit(docs: DataFrame, buckets: int | None = None) -> Model:
+def fit(docs: DataFrame, order: int = 2, buckets: int | None = None) -> Model:
     """Count the model of all documents into a new folder below the shared one."""
+    if order < 2:
+        raise ValueError("a model has an order of at least 2")
     spark = docs.sparkSession
-    buckets = min(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
     place = urlparse(fresh_path(spark, "ngrams"))
     if place.scheme not in ("", "file"):
         raise ValueError("the model is mapped into memory: its folder must be on a mounted file system")
     path = place.path
     os.makedirs(path, exist_ok=True)
-    pairs = documents(docs).select("text").mapInArrow(_count(buckets), _SENT)
-    sides = pairs.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(_merge_pairs(path, buckets), _SENT)
-    sums = sides.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(_merge_words(path), "sums array<long>")
-    found = sums.select(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(13)]).first()
-    total, kinds, begun, n_pairs, *rest = [int(x or 0) for x in found]
-    of_pairs, of_words = discounts(rest[:4]), discounts(rest[4:8])
-    mass = of_words[1] * rest[4] + of_words[2] * rest[5] + of_words[3] * rest[8]
-    return Model(path, buckets, total, kinds + bool(begun), n_pairs, (of_pairs, of_words), mass / n_pairs if n_pairs else 1.0)
+    texts = documents(docs).select("text")
+
+    def dealt(rows: DataFrame, n: int) -> DataFrame:
+        return rows.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket")
+
+    n_words = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
+    sizes, masses, begun = [0] * n_words, [0] * n_words, 0
+    for (found,) in dealt(texts.mapInArrow(_count_words(n_words), _SENT), n_words).mapInArrow(_merge_words(path), "sums array<long>").collect():
+        sizes[found[0]], masses[found[0]], begun = found[1], found[2], begun + found[3]
+    total = sum(masses) - begun
+    if sum(sizes) >= 1 << 32:
+        raise OverflowError("more than 2**32 different words")
+    buckets = buckets or max(n_words, total // GATHERED + 1)
+    where = path, sizes, masses
+    rows = texts.mapInArrow(_count(where, order, buckets), _SENT)
+    for k in range(order, 1, -1):
+        rows = dealt(rows, buckets).mapInArrow(_merge(where, buckets, k, order), _SENT)
+    heard = np.zeros(5, np.int64)
+    for (found,) in dealt(rows, n_words).mapInArrow(_merge_heard(where), "sums array<long>").collect():
+        heard += found
+    of, cut, pairs = [], {}, 0
+    for k in range(order, 1, -1):
+        counts, cut[k] = np.zeros(4, np.int64), {}
+        pairs = 0
+        for b in range(buckets):
+            if not os.path.exists(file := f"{path}/said-{k}-{b}"):
+                continue
+            with open(file) as said:
+                said = json.load(said)
+            counts += said["counts"]
+            pairs += said["grams"]
+            for context, stats in said["cut"]:
+                cut[k][tuple(context)] = tuple(map(sum, zip(stats, cut[k].get(tuple(context), (0,) * 4))))
+        of.append(discounts(counts.tolist()))
+    of.append(last := discounts(heard[:4].tolist()))
+    mass = last[1] * heard[0] + last[2] * heard[1] + last[3] * heard[4]
+    kinds = sum(sizes) - bool(begun)  # the start mark is no word
+    return Model(path, order, buckets, sizes, masses, total, kinds, pairs, tuple(of), float(mass / pairs) if pairs else 1.0, cut)
 
 
 # --- Scoring -------------------------------------------------------------------
 
 
-class Tables:
-    """The mapped files of a model, opened as they are needed."""
-
+def _within(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of values in their own sorted ranges, and whether they are there."""
+    low, end = low.copy(), high
+    high = high.copy()
+    open_ = np.flatnonzero(low < high)
+    while len(open_):
+        a, z = low[open_], high[open_]
+        middle = (a + z) >> 1
+        less = values[middle] < wanted[open_]
+        low[open_] = a = np.where(less, middle + 1, a)
+        high[open_] = z = np.where(less, z, middle)
+        open_ = open_[a < z]
+    there = low < end
+    there[there] = values[low[there]] == wanted[there]
+    return low, there
+
+
+class Tables(Lexicon):
     def __init__(self, model: Model):
-        self.model, self.open = model, {}
-
-    def file(self, name: str, bucket: int, dtype, width: int = 1) -> np.ndarray:
-        key = name, bucket
-        if key not in self.open:
-            path = f"{self.model.path}/{name}-{bucket}"
-            size = os.path.getsize(path) if os.path.exists(path) else 0  # a bucket may be empty
-            data = np.memmap(path, dtype, "r") if size else np.zeros(0, dtype)
-            self.open[key] = data.reshape(-1, width) if width > 1 else data
-        return self.open[key]
-
-    def _places(self, name: str, hashes: np.ndarray) -> Iterator[tuple[int, slice, np.ndarray, np.ndarray]]:
-        """For sorted hashes: bucket, which of them, places in its file, and whether they are there."""
-        cuts = np.searchsorted(bucket_of(hashes, self.model.buckets), np.arange(self.model.buckets + 1))
-        for b in np.flatnonzero(np.diff(cuts)).tolist():
-            part = slice(cuts[b], cuts[b + 1])
-            keys = self.file(name, b, np.uint64)
-            at = np.searchsorted(keys, hashes[part])
-            there = at < len(keys)
-            there[there] = keys[at[there]] == hashes[part][there]
-            yield b, part, at[there], there
-
-    def words(self, hashes: np.ndarray) -> np.ndarray:
-        """Per sorted hash: count, successors seen once, twice, more often, predecessors."""
-        out = np.zeros((len(hashes), 5), np.int64)
-        for b, part, at, there in self._places("words", hashes):
-            out[part][there] = np.column_stack([self.file("totals", b, np.int64)[at], self.file("spread", b, np.uint32, 4)[at]])
+        super().__init__(model.path, model.sizes, model.masses)
+        self.model = model
+
+    def heard(self, ids: np.ndarray) -> np.ndarray:
+        """Of sorted ids: how many different words precede the word."""
+        out = np.zeros(len(ids), np.int64)
+        for b, part, at in self.parts(ids):
+            if len(heard := self.file(f"heard-{b}", np.uint32)):
+                out[part] = heard[at]
         return out
 
-    def pairs(self, keys: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(keys), np.int64)
-        for b, part, at, there in self._places("pairs", keys):
-            count = self.file("counts", b, np.uint8)[at].astype(np.int64)
-            if (full := count == 255).any():
-                large = np.asarray(self.file("large", b, np.int64, 2))
-                count[full] = large[np.searchsorted(large[:, 0], at[full]), 1]
-            out[part][there] = count
-        return out
+    def _counts(self, order: int, bucket: int, at: np.ndarray) -> np.ndarray:
+        count = self.file(f"counts-{order}-{bucket}", np.uint8)[at].astype(np.int64)
+        if (full := count == 255).any():
+            large = np.asarray(self.file(f"large-{order}-{bucket}", np.int64, 2))
+            count[full] = large[np.searchsorted(large[:, 0], at[full]), 1]
+        return count
+
+    def _in_bucket(self, bucket: int, columns: list[np.ndarray], seen: np.ndarray, stats: np.ndarray) -> None:
+        order, n = len(columns), len(seen)
+        low, high = np.zeros(n, np.int64), np.full(n, len(self.file(f"ids0-{order}-{bucket}", np.uint32)))
+        at, there = low, np.ones(n, bool)
+        for depth in range(order - 1):
+            at, found = _within(self.file(f"ids{depth}-{order}-{bucket}", np.uint32), low, high, columns[depth])
+            there &= found
+            starts = self.file(f"at{depth}-{order}-{bucket}", np.uint32)
+            at = np.where(there, at, 0)
+            if not there.any():
+                return
+            low = np.where(there, starts[at].astype(np.int64), 0)
+            high = np.where(there, starts[at + 1].astype(np.int64), 0)
+        leaf, found = _within(self.file(f"ids{order - 1}-{order}-{bucket}", np.uint32), low, high, columns[-1])
+        seen[found] = self._counts(order, bucket, leaf[found])
+        few = there & (high - low <= FEW)
+        for step in range(FEW):
+            rows = np.flatnonzero(few & (low + step < high))
+            count = self._counts(order, bucket, low[rows] + step)
+            stats[rows, 0] += count
+            stats[rows, np.minimum(count, 3)] += 1
+        rows = np.flatnonzero(there & ~few)
+        many = self.file(f"many-{order}-{bucket}", np.int64, 5)
+        stats[rows] = many[np.searchsorted(many[:, 0], at[rows]), 1:]
+
+    def grams(self, columns: list[np.ndarray], ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of n-grams: count, and of their contexts: count, next words seen once, twice, more often.
+
+        Columns are places among the words, whose ids (-1 if unknown) and weights follow.
+        """
+        order, n = len(columns), len(columns[0])
+        safe = np.maximum(ids, 0)
+        by = _ordered([safe[c] for c in columns], self.words)
+        places = [c[by] for c in columns]
+        values = [ids[c] for c in places]
+        weights = [start[c] for c in places], [size[c] for c in places]
+        bucket = bucket_of(*weights, self.total, self.model.buckets)
+        seen, stats = np.zeros(n, np.int64), np.zeros((n, 4), np.int64)
+        cuts = np.append(np.flatnonzero(_fresh([bucket])), n)
+        for a, z in zip(cuts, cuts[1:]):
+            self._in_bucket(int(bucket[a]), [v[a:z] for v in values], seen[a:z], stats[a:z])
+        known = np.all([v >= 0 for v in values[:-1]], axis=0)
+        split = known & (bucket_of(*weights, self.total, self.model.buckets, 0.0) != bucket_of(*weights, self.total, self.model.buckets, 1.0))
+        rows = np.flatnonzero(split)
+        contexts = [v[rows] for v in values[:-1]]
+        begin = np.flatnonzero(_fresh(contexts)) if len(rows) else rows
+        sums = [self.model.cut[order].get(key, (0,) * 4) for key in zip(*(c[begin].tolist() for c in contexts))]
+        stats[rows] = np.repeat(np.array(sums, np.int64).reshape(-1, 4), np.diff(np.append(begin, len(rows))), axis=0)
+        back = np.empty(n, np.int64)
+        back[by] = np.arange(n)
+        return seen[back], stats[back]
 
 
 def probabilities(tables: Tables, found: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """Of every token: its count in training and its probability."""
     model = tables.model
-    of_pairs, of_words = (np.array(d) for d in model.discounts)
-    unique, place = np.unique(np.concatenate([found.word, found.before]), return_inverse=True)
-    stats = tables.words(unique)
-    n = len(found.word)
-    word, before = stats[place[:n]], stats[place[n:]]
-    begun = stats[unique == START, 0]  # texts begin as often as they end
-    count = np.where(found.word == END, begun[0] if len(begun) else 0, word[:, 0])
-    heard = word[:, 4]
-    even = model.rest / (model.vocabulary + 1)
-    single = np.maximum(heard - of_words[np.minimum(heard, 3)], 0) / max(model.pairs, 1) + even
-    keys, where = np.unique(pair_keys(found.before, found.word), return_inverse=True)
-    seen = tables.pairs(keys)[where]
-    total = before[:, 0]
-    mass = before[:, 1:4] @ of_pairs[1:]
-    known = total > 0
-    both = np.maximum(seen - of_pairs[np.minimum(seen, 3)], 0) + mass * single
-    return count, np.where(known, both / np.maximum(total, 1), single)
+    unique, word = np.unique(np.append(found.word, START), return_inverse=True)
+    ids = tables.ids(unique)
+    known = np.flatnonzero(ids >= 0)
+    start, size, heard = (np.zeros(len(ids), np.int64) for _ in range(3))
+    start[known], size[known] = tables.weights(ids[known])
+    heard[known] = tables.heard(ids[known])
+    # unknown words stand at the first id
+    if len(known) < len(ids) and tables.words:
+        first = tables.weights(np.zeros(1, np.int64))
+        start[ids < 0], at_first = first[0][0], first[1][0]
+        weight = np.where(ids < 0, at_first, size)
+    else:
+        weight = size
+    of = np.array(model.discounts[-1])
+    one = np.maximum(heard - of[np.minimum(heard, 3)], 0) / max(model.pairs, 1) + model.rest / (model.vocabulary + 1)
+    columns = grams(word[:-1], found.place, word[-1], model.order)
+    chance = one[columns[-1]]
+    for order in range(2, model.order + 1):
+        of = np.array(model.discounts[model.order - order])
+        seen, stats = tables.grams([*columns[: order - 1], columns[-1]], ids, start, weight)
+        total = stats[:, 0]
+        both = np.maximum(seen - of[np.minimum(seen, 3)], 0) + (stats[:, 1:] @ of[1:]) * chance
+        chance = np.where(total > 0, both / np.maximum(total, 1), chance)
+    return size[columns[-1]], chance
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

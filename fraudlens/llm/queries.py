@@ -44,7 +44,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
-    model = kneser_ney.fit(documents.where(~held_out))
+    model = kneser_ney.fit(documents.where(~held_out), order=3)
     return kneser_ney.score(documents, model).select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score", "score", "perplexity",

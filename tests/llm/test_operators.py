@@ -124,6 +124,49 @@ def test_kneser_ney_matches_its_formulas(spark):
     assert empty.tokens == 0 and kneser_ney.score(table(spark, [(1, None)]), empty).first().n_tokens == 1
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
+@pytest.mark.parametrize("buckets", [1, 4, 97])
+def test_kneser_ney_of_any_order_matches_its_formulas(spark, order, buckets):
+    rng = random.Random(order)
+    # one word is a third of the tokens, so bounds of many buckets cut it and its pairs
+    rows = made(3) + [(i, " ".join(rng.choice(["the", "of", f"w{rng.randint(0, 60)}"]) for _ in range(60))) for i in range(200, 212)]
+    rows.append((301, "the of " * 400))  # counts above 255
+    train, texts = [t for d, t in rows if (d or 0) % 3], [t for _, t in rows] + ["unseen words", "the the unseen of the"]
+    cut = lambda t: SPACE.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + ["</e>"]
+    around = lambda t: [tuple((["<s>"] * (order - 1) + cut(t))[i : i + order]) for i in range(len(cut(t)))]
+    count = {order: Counter(g for t in train for g in around(t))}
+    for k in range(order - 1, 0, -1):
+        count[k] = Counter(g[1:] for g in count[k + 1])
+    single = Counter(w for t in train for w in cut(t))
+    cuts = {k: kneser_ney.discounts([sum(c == n for c in count[k].values()) for n in (1, 2, 3, 4)]) for k in count}
+    after = {k: defaultdict(list) for k in count}
+    for k in count:
+        for g, c in count[k].items():
+            after[k][g[:-1]].append(c)
+    rest = sum(cuts[1][min(c, 3)] for c in count[1].values()) / len(count[2])
+
+    def chance(g):
+        k = len(g)
+        c = count[k][g]
+        if k == 1:
+            return max(c - cuts[1][min(c, 3)], 0) / len(count[2]) + rest / (len(single) + 1)
+        seen = after[k][g[:-1]]
+        if not seen:
+            return chance(g[1:])
+        return (max(c - cuts[k][min(c, 3)], 0) + sum(cuts[k][min(x, 3)] for x in seen) * chance(g[1:])) / sum(seen)
+
+    for g in [*count[order]][:5]:
+        assert sum(chance((*g[:-1], w)) for w in [*single, "<unknown>"]) == pytest.approx(1)
+    model = kneser_ney.fit(table(spark, [(d, t) for d, t in rows if (d or 0) % 3]), order=order, buckets=buckets)
+    assert (model.order, model.tokens, model.vocabulary, model.pairs) == (order, sum(single.values()), len(single), len(count[2]))
+    assert max(count[order].values()) > 255 and (buckets < 97 or all(model.cut.values()))
+    for r in kneser_ney.score(table(spark, list(enumerate(texts))), model).collect():
+        assert (r.n_tokens, r.n_known) == (len(cut(texts[r.doc_id])), sum(single[w] > 0 for w in cut(texts[r.doc_id])))
+        assert r.score == pytest.approx(sum(math.log10(chance(g)) for g in around(texts[r.doc_id])))
+    empty = kneser_ney.fit(table(spark, []), order=order, buckets=buckets)
+    assert empty.tokens == 0 and kneser_ney.score(table(spark, [(1, None)]), empty).first().n_tokens == 1
+
+
 # --- 3 -------------------------------------------------------------------------
 
 
