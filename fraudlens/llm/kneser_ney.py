@@ -45,8 +45,8 @@ GATHERED, SCORED = 3_000_000, 8 << 20
 #: Contexts with more next words than this have their sums stored.
 FEW = 8
 TOP = np.uint64(48)
-#: Files a worker holds open.
-OPEN = 600
+#: Files a worker holds open, and rows whose buckets are found at a time.
+OPEN, SLICE = 600, 1 << 18
 
 
 class Model(NamedTuple):
@@ -102,6 +102,15 @@ def bucket_of(starts: list[np.ndarray], sizes: list[np.ndarray], total: int, buc
     return np.minimum((at * buckets).astype(np.int64), buckets - 1)
 
 
+def buckets_of(start: np.ndarray, size: np.ndarray, columns: list[np.ndarray], total: int, buckets: int, last=None) -> np.ndarray:
+    """``bucket_of`` for columns of places among words, a slice at a time."""
+    out = np.empty(len(columns[0]), np.int64)
+    for a in range(0, len(out), SLICE):
+        part = [c[a : a + SLICE] for c in columns]
+        out[a : a + SLICE] = bucket_of([start[c] for c in part], [size[c] for c in part], total, buckets, last)
+    return out
+
+
 def _ordered(columns: list[np.ndarray], words: int) -> np.ndarray:
     """The order of rows by their columns of ids below ``words``; several columns make one key where they fit."""
     bits, keys = max(int(words).bit_length(), 1), []
@@ -110,7 +119,7 @@ def _ordered(columns: list[np.ndarray], words: int) -> np.ndarray:
         for column in columns[i : i + 64 // bits]:
             key = key << np.uint64(bits) | column.astype(np.uint64)
         keys.append(key)
-    return np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
+    return np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(keys[::-1])
 
 
 def _fresh(columns: list[np.ndarray]) -> np.ndarray:
@@ -126,11 +135,13 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, starts) if len(starts) else np.zeros(0, np.int64)
 
 
-def _combined(columns: list[np.ndarray], count: np.ndarray, words: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows in order with their counts."""
+def _combined(columns: list[np.ndarray], count: np.ndarray | None, words: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows in order with their counts; each row counts once if there are none."""
     order = _ordered(columns, words)
     columns = [c[order] for c in columns]
     begin = np.flatnonzero(_fresh(columns))
+    if count is None:
+        return [c[begin] for c in columns], np.diff(np.append(begin, len(order)))
     return [c[begin] for c in columns], _sums(count[order], begin)
 
 
@@ -172,11 +183,12 @@ def _unpacked(data: bytes, width: int) -> list[np.ndarray]:
     return out
 
 
-def _sent(columns: list[np.ndarray], count: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Sorted rows, to the buckets they are for."""
+def _sent(columns: list[np.ndarray], count: np.ndarray, bucket: np.ndarray, ids: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Sorted rows, to the buckets they are for; with ``ids``, columns are places among these."""
     cuts = np.append(np.flatnonzero(_fresh([bucket])), len(bucket))
     for a, z in zip(cuts, cuts[1:]):
-        yield _rows([(int(bucket[a]), _packed([*(c[a:z] for c in columns), count[a:z]]))])
+        part = [c[a:z] if ids is None else ids[c[a:z]] for c in columns]
+        yield _rows([(int(bucket[a]), _packed([*part, count[a:z]]))])
 
 
 def _by_bucket(batches) -> Iterator[tuple[int, list[bytes]]]:
@@ -305,11 +317,10 @@ class Lexicon(Files):
             start[part], size[part] = self.mass[b] + mass[at], mass[at + 1] - mass[at]
         return start, size
 
-    def weighed(self, columns: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        unique = np.unique(np.concatenate([np.unique(c) for c in columns])).astype(np.int64)
-        weights = self.weights(unique)
-        at = [np.searchsorted(unique, c) for c in columns]
-        return [weights[0][a] for a in at], [weights[1][a] for a in at]
+    def weighed(self, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Tokens before and of the columns' words, and columns of places among those."""
+        unique, at = np.unique(np.concatenate(columns), return_inverse=True)
+        return *self.weights(unique.astype(np.int64)), np.split(at, len(columns))
 
 
 # --- N-grams ---------------------------------------------------------------------
@@ -324,10 +335,14 @@ def _count(place: tuple, order: int, buckets: int):
             ids = lexicon.ids(unique)
             if ids.min() < 0:
                 raise ValueError("the documents changed between two passes")
-            word = ids[word].astype(np.uint32)
+            # places among the sorted words are in the order of ids
+            word = word.astype(np.uint32)
             columns = grams(word[:-1], np.concatenate([t.place for t in held]), word[-1], order)
-            columns, count = _combined(columns, np.ones(len(word) - 1, np.int64), lexicon.words)
-            yield from _sent(columns, count, bucket_of(*lexicon.weighed(columns), lexicon.total, buckets))
+            del held, word
+            columns, count = _combined(columns, None, len(unique))
+            bucket = buckets_of(*lexicon.weights(ids), columns, lexicon.total, buckets)
+            ids = ids.astype(np.uint32)
+            yield from _sent(columns, count, bucket, ids)
 
     return run
 
@@ -358,18 +373,20 @@ def _merge(place: tuple, buckets: int, order: int, top: int):
             stats = np.stack([_sums(count, contexts), *kinds], axis=1)
             many = np.flatnonzero(stats[:, 1:].sum(axis=1) > FEW)
             _write(name("many"), np.column_stack([many, stats[many]]))
-            weights = lexicon.weighed(columns)
-            own = [[x[contexts] for x in w] for w in weights]
-            cut = np.flatnonzero(bucket_of(*own, lexicon.total, buckets, 0.0) != bucket_of(*own, lexicon.total, buckets, 1.0))
+            # only the first and the last context can pass the bucket's bounds
+            ends = np.unique([0, len(contexts) - 1])
+            *weights, own = lexicon.weighed([c[contexts[ends]] for c in columns])
+            near, far = (buckets_of(*weights, own, lexicon.total, buckets, x) for x in (0.0, 1.0))
+            cut = ends[near != far]
             said = {
                 "counts": _counts_of_counts(count).tolist(), "grams": len(count),
                 "cut": [([int(c[contexts[i]]) for c in columns[:-1]], stats[i].tolist()) for i in cut],
             }
             _write(name("said"), np.frombuffer(json.dumps(said).encode(), np.uint8))
             if order > 2:
-                columns = [*columns[:-2], columns[-1]]
-                columns, count = _combined(columns, np.ones(len(count), np.int64), lexicon.words)
-                yield from _sent(columns, count, bucket_of(*lexicon.weighed(columns), lexicon.total, buckets))
+                columns, count = _combined([*columns[:-2], columns[-1]], None, lexicon.words)
+                *weights, own = lexicon.weighed(columns)
+                yield from _sent(columns, count, buckets_of(*weights, own, lexicon.total, buckets))
             else:
                 word, count = np.unique(columns[-1], return_counts=True)
                 yield from _sent([word], count, np.searchsorted(lexicon.first, word, "right") - 1)
@@ -499,29 +516,45 @@ class Tables(Lexicon):
         return count
 
     def _in_bucket(self, bucket: int, columns: list[np.ndarray], seen: np.ndarray, stats: np.ndarray) -> None:
+        """Counts of a bucket's sorted n-grams and sums of their contexts; equal beginnings are looked up once."""
         order, n = len(columns), len(seen)
-        low, high = np.zeros(n, np.int64), np.full(n, len(self.file(f"ids0-{order}-{bucket}", np.uint32)))
-        at, there = low, np.ones(n, bool)
-        for depth in range(order - 1):
-            at, found = _within(self.file(f"ids{depth}-{order}-{bucket}", np.uint32), low, high, columns[depth])
-            there &= found
-            starts = self.file(f"at{depth}-{order}-{bucket}", np.uint32)
-            at = np.where(there, at, 0)
-            if not there.any():
-                return
-            low = np.where(there, starts[at].astype(np.int64), 0)
-            high = np.where(there, starts[at + 1].astype(np.int64), 0)
-        leaf, found = _within(self.file(f"ids{order - 1}-{order}-{bucket}", np.uint32), low, high, columns[-1])
-        seen[found] = self._counts(order, bucket, leaf[found])
-        few = there & (high - low <= FEW)
-        for step in range(FEW):
-            rows = np.flatnonzero(few & (low + step < high))
-            count = self._counts(order, bucket, low[rows] + step)
-            stats[rows, 0] += count
-            stats[rows, np.minimum(count, 3)] += 1
-        rows = np.flatnonzero(there & ~few)
-        many = self.file(f"many-{order}-{bucket}", np.int64, 5)
-        stats[rows] = many[np.searchsorted(many[:, 0], at[rows]), 1:]
+        name = f"{order}-{bucket}"
+        if not len(top := self.file(f"ids0-{name}", np.uint32)):
+            return
+        begin, fresh = np.zeros(1, np.int64), np.zeros(n, bool)
+        low, high = np.zeros(1, np.int64), np.full(1, len(top))
+        for depth, column in enumerate(columns):
+            fresh[1:] |= column[1:] != column[:-1]
+            fresh[0] = True
+            above, begin = begin, np.flatnonzero(fresh)
+            own = np.searchsorted(above, begin, "right") - 1
+            wanted = column[begin]
+            if depth:
+                at, there = _within(self.file(f"ids{depth}-{name}", np.uint32), low[own], high[own], wanted)
+            else:
+                at = np.searchsorted(top, np.maximum(wanted, 0).astype(np.uint32))
+                there = (wanted >= 0) & (at < len(top))
+                there[there] = top[at[there]] == wanted[there]
+            if depth < order - 1:
+                starts = self.file(f"at{depth}-{name}", np.uint32)
+                at[~there] = 0
+                low, high = (np.where(there, starts[at + x].astype(np.int64), 0) for x in (0, 1))
+            if depth == order - 2:
+                found = np.zeros((len(begin), 4), np.int64)
+                size = high - low
+                rows = np.flatnonzero((size > 0) & (size <= FEW))
+                for step in range(FEW):
+                    rows = rows[size[rows] > step]
+                    count = self._counts(order, bucket, low[rows] + step)
+                    found[rows, 0] += count
+                    found[rows, np.minimum(count, 3)] += 1
+                rows = np.flatnonzero(size > FEW)
+                many = self.file(f"many-{name}", np.int64, 5)
+                found[rows] = many[np.searchsorted(many[:, 0], at[rows]), 1:]
+                stats[:] = np.repeat(found, np.diff(np.append(begin, n)), axis=0)
+        count = np.zeros(len(begin), np.int64)
+        count[there] = self._counts(order, bucket, at[there])
+        seen[:] = np.repeat(count, np.diff(np.append(begin, n)))
 
     def grams(self, columns: list[np.ndarray], ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of n-grams: count, and of their contexts: count, next words seen once, twice, more often.
@@ -529,23 +562,19 @@ class Tables(Lexicon):
         Columns are places among the words, whose ids (-1 if unknown) and weights follow.
         """
         order, n = len(columns), len(columns[0])
-        safe = np.maximum(ids, 0)
-        by = _ordered([safe[c] for c in columns], self.words)
+        by = _ordered(columns, len(ids))
         places = [c[by] for c in columns]
-        values = [ids[c] for c in places]
-        weights = [start[c] for c in places], [size[c] for c in places]
-        bucket = bucket_of(*weights, self.total, self.model.buckets)
         seen, stats = np.zeros(n, np.int64), np.zeros((n, 4), np.int64)
+        bucket = buckets_of(start, size, places, self.total, self.model.buckets)
         cuts = np.append(np.flatnonzero(_fresh([bucket])), n)
         for a, z in zip(cuts, cuts[1:]):
-            self._in_bucket(int(bucket[a]), [v[a:z] for v in values], seen[a:z], stats[a:z])
-        known = np.all([v >= 0 for v in values[:-1]], axis=0)
-        split = known & (bucket_of(*weights, self.total, self.model.buckets, 0.0) != bucket_of(*weights, self.total, self.model.buckets, 1.0))
-        rows = np.flatnonzero(split)
-        contexts = [v[rows] for v in values[:-1]]
-        begin = np.flatnonzero(_fresh(contexts)) if len(rows) else rows
-        sums = [self.model.cut[order].get(key, (0,) * 4) for key in zip(*(c[begin].tolist() for c in contexts))]
-        stats[rows] = np.repeat(np.array(sums, np.int64).reshape(-1, 4), np.diff(np.append(begin, len(rows))), axis=0)
+            self._in_bucket(int(bucket[a]), [ids[c[a:z]] for c in places], seen[a:z], stats[a:z])
+        begin = np.flatnonzero(_fresh(places[:-1]))
+        contexts = [c[begin] for c in places]
+        near, far = (buckets_of(start, size, contexts, self.total, self.model.buckets, x) for x in (0.0, 1.0))
+        ends = np.append(begin[1:], n)
+        for i in np.flatnonzero(near != far).tolist():
+            stats[begin[i] : ends[i]] = self.model.cut[order].get(tuple(int(ids[c[i]]) for c in contexts[:-1]), (0,) * 4)
         back = np.empty(n, np.int64)
         back[by] = np.arange(n)
         return seen[back], stats[back]
@@ -560,20 +589,16 @@ def probabilities(tables: Tables, found: Tokens) -> tuple[np.ndarray, np.ndarray
     start, size, heard = (np.zeros(len(ids), np.int64) for _ in range(3))
     start[known], size[known] = tables.weights(ids[known])
     heard[known] = tables.heard(ids[known])
-    # unknown words stand at the first id
-    if len(known) < len(ids) and tables.words:
-        first = tables.weights(np.zeros(1, np.int64))
-        start[ids < 0], at_first = first[0][0], first[1][0]
-        weight = np.where(ids < 0, at_first, size)
-    else:
-        weight = size
+    # an unknown word stands, without width, after the known one before it
+    last = np.maximum.accumulate(np.where(ids >= 0, np.arange(len(ids)), -1))
+    start = np.where(ids >= 0, start, np.where(last >= 0, (start + size)[last], 0))
     of = np.array(model.discounts[-1])
     one = np.maximum(heard - of[np.minimum(heard, 3)], 0) / max(model.pairs, 1) + model.rest / (model.vocabulary + 1)
     columns = grams(word[:-1], found.place, word[-1], model.order)
     chance = one[columns[-1]]
     for order in range(2, model.order + 1):
         of = np.array(model.discounts[model.order - order])
-        seen, stats = tables.grams([*columns[: order - 1], columns[-1]], ids, start, weight)
+        seen, stats = tables.grams([*columns[: order - 1], columns[-1]], ids, start, size)
         total = stats[:, 0]
         both = np.maximum(seen - of[np.minimum(seen, 3)], 0) + (stats[:, 1:] @ of[1:]) * chance
         chance = np.where(total > 0, both / np.maximum(total, 1), chance)

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version on small tables with the awkward cases."""
 
 import math
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -167,6 +168,15 @@ def test_kneser_ney_of_any_order_matches_its_formulas(spark, order, buckets):
     assert empty.tokens == 0 and kneser_ney.score(table(spark, [(1, None)]), empty).first().n_tokens == 1
 
 
+def test_kneser_ney_spreads_a_frequent_word_over_buckets(spark, monkeypatch):
+    texts = [" ".join(f"the w{i}x{j} y{i % 3}" for j in range(100)) for i in range(60)]
+    model = kneser_ney.fit(table(spark, list(enumerate(texts))), buckets=12)
+    held = [os.path.getsize(f"{model.path}/counts-2-{b}") for b in range(12) if os.path.exists(f"{model.path}/counts-2-{b}")]
+    assert sum(held) == model.pairs and max(held) < model.pairs / 4
+    monkeypatch.setattr(kneser_ney, "GATHERED", 500)
+    assert kneser_ney.fit(table(spark, list(enumerate(texts)))).buckets == model.tokens // 500 + 1
+
+
 # --- 3 -------------------------------------------------------------------------
 
 
