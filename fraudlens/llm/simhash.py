@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from fraudlens.llm.blocks import blocks, documents
 from fraudlens.llm.components import components
@@ -187,13 +188,25 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     Same columns.  Rows without ``doc_id`` stay only if no row of their component has one, then
     one row for each distinct text; rows that share the smallest ``doc_id`` likewise.
     """
-    classes = near_duplicates(docs, shingle, max_bits)
-    keep = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    spark = docs.sparkSession
+    path = fresh_path(spark, "classes")
+    near_duplicates(docs, shingle, max_bits).withColumn("least", F.col("doc_id").eqNullSafe(F.col("component_id"))).write.parquet(path)
+    classes = spark.read.parquet(path)
+    ids = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("least").alias("kept")).where("kept")
     rows = docs.alias("__docs")
 
     def chosen(ids: DataFrame) -> DataFrame:
         ids = ids.alias("__keep")
         return rows.join(ids, F.col("__docs.doc_id").eqNullSafe(F.col("__keep.doc_id")), "left_semi")
 
-    # texts are compared only where rows share an id
-    return chosen(keep.where("n = 1")).union(chosen(keep.where("n > 1")).dropDuplicates(["doc_id", "text"]))
+    def with_bits(batches):
+        for block in blocks(batches):
+            made = np.array([fingerprint(x, shingle) for x in block.texts()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*block.rows.columns, pa.array(made)], [*block.rows.schema.names, "__bits"])
+
+    # where rows share an id, or have none, the fingerprint says of which component a row is; texts are compared only there
+    shared = chosen(ids.where("n > 1")).mapInArrow(with_bits, StructType([*docs.schema.fields, StructField("__bits", LongType())]))
+    least = classes.where("least").select("doc_id", "bits").distinct().alias("__least")
+    same = F.col("__shared.doc_id").eqNullSafe(F.col("__least.doc_id")) & (F.col("__bits") == F.col("__least.bits"))
+    shared = shared.alias("__shared").join(least, same, "left_semi").drop("__bits")
+    return chosen(ids.where("n = 1")).union(shared.dropDuplicates(["doc_id", "text"]))

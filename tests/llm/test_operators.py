@@ -232,6 +232,15 @@ def test_near_duplicates(spark, monkeypatch, bucket):
     assert simhash.near_duplicates(table(spark, [])).count() == 0
 
 
+def test_one_of_each_keeps_by_component_where_ids_are_shared_or_missing(spark):
+    rng = random.Random(9)
+    a, b, c = (" ".join(f"w{rng.randint(0, 9999)}" for _ in range(40)) for _ in range(3))
+    # b is the copy of a row with a smaller id but shares its own id with c, which is kept; a text without any id stays, a's copy does not
+    rows = [(1, a), (None, a), (None, "alone"), (None, "alone"), (2, b), (5, b), (5, c)]
+    kept = simhash.one_of_each(table(spark, rows))
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, a), (None, "alone"), (2, b), (5, c)])
+
+
 def test_crowded_fingerprints_are_linked_exactly(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BUCKET", 3)
     rng = random.Random(6)
