@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fraudlens.llm import (
-    bpe, kneser_ney, line_dedup, line_quality, packing, simhash, suffix_array, suffix_tree, warc, winnowing,
+    bpe, filter_audit, kneser_ney, line_dedup, line_quality, packing, simhash, suffix_array, suffix_tree, warc, winnowing,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -237,3 +237,44 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.size("dropped_lines"), F.lit(0)).cast("long").alias("n_dropped"),
         F.sha2("kept_text", 256).alias("kept_sha256"),
     )
+
+
+@query("op11_filter_audit", f"""
+WITH doc AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {_WORD} AS w FROM documents
+), flag AS (
+  SELECT doc_id, part, [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+         100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text), regexp_matches(text, '[#$%&*|]'),
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS f FROM doc
+), rated AS (
+  SELECT doc_id, max(coalesce(quality = 1, false)::INT) AS good, max(coalesce(toxic = 1, false)::INT) AS toxic FROM labels GROUP BY 1
+), cell AS (
+  SELECT part, f, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM flag LEFT JOIN rated USING (doc_id) GROUP BY 1, 2
+), i AS (SELECT unnest(range(1, 6)) AS x), orders AS (
+  SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM i a, i b, i c, i d, i e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT o, s, o[s] AS own, list_transform(o, lambda k: substr('ABCDE', k::BIGINT, 1)) AS names FROM orders, (SELECT x AS s FROM i)
+), seen AS (
+  SELECT part, o, s, own, names, n, good, toxic, f[own] AS fails,
+         len(list_filter(o[1:s - 1], lambda k: f[k])) > 0 AS gone, len(list_filter(f, lambda x: x)) AS n_fails
+  FROM cell, steps
+), figure AS (
+  SELECT part, array_to_string(any_value(names), '') AS filter_order, s, own,
+         coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fails), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE NOT gone AND fails), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE gone AND fails), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE fails AND n_fails = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE NOT gone AND fails), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE NOT gone AND fails), 0) AS toxic_lost
+  FROM seen GROUP BY part, o, s, own
+)
+SELECT part, filter_order, s::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM figure
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = filter_audit.failure_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit(counts)
