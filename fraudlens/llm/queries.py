@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fraudlens.llm import (
-    bpe, filter_audit, kneser_ney, line_dedup, line_quality, packing, simhash, suffix_array, suffix_tree, warc, winnowing,
+    bpe, centroids, filter_audit, kneser_ney, line_dedup, line_quality, packing, pii, simhash, suffix_array, suffix_tree, warc,
+    winnowing,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -278,3 +279,47 @@ FROM figure
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = filter_audit.failure_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return filter_audit.audit(counts)
+
+
+@query("op12_personal_data")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = pii.find(documents, pii.fit(documents))
+    listed = lambda name: F.array_join(
+        F.transform(name, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+def _clustering_sql(k: int, rounds: int) -> str:
+    gap = "list_sum(list_transform(list_zip(x.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    parts = [
+        """x AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda e: CAST(floor(64 * e::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: isfinite(e))) = 64)""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v
+  FROM x ORDER BY sha256('1:' || vec_id), v LIMIT {k})""",
+    ]
+    for t in range(rounds + 1):
+        parts.append(f"""a{t} AS MATERIALIZED (SELECT r, vec_id, x.v, c, {gap} AS d FROM x, c{t} c
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)""")
+        if t < rounds:
+            parts.append(f"""c{t + 1} AS MATERIALIZED (
+  SELECT c, coalesce(any_value(m.v), any_value(c{t}.v)) AS v FROM c{t} LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+      SELECT c, i, sum(e)::BIGINT AS s, count(*) AS n
+      FROM (SELECT c, unnest(v) AS e, generate_subscripts(v, 1) AS i FROM a{t}) GROUP BY c, i) GROUP BY c) m USING (c) GROUP BY c)""")
+    return "WITH " + ", ".join(parts) + f"""
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (c)"""
+
+
+@query("op13_centroid_clusters", _clustering_sql(centroids.CENTROIDS, centroids.ROUNDS))
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, final = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    digest = F.lit(None).cast("string")
+    for number, text in enumerate(centroids.digests(final)):
+        digest = F.when(F.col("cluster") == number, F.lit(text)).otherwise(digest)
+    return found.withColumn("centroid_sha256", digest)
