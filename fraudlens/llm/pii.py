@@ -14,8 +14,8 @@ damped) passes messages along all links; a word takes its likeliest state if its
 Runs of words of one kind become spans if they pass that kind's check; base spans always stay, and a span that
 touches one is not added.
 
-Training: pseudo-likelihood of the base labels on at most ``SAMPLE`` texts, those with the smallest hash, with at most
-``PIECE`` variables each; every text is read and labelled in tasks, and only these bounded arrays reach the driver.  Matches that
+Training: pseudo-likelihood of the base labels on at most ``SAMPLE`` texts, a sample drawn by hash, with at most
+``PIECE`` variables each; the texts are labelled in tasks, and only these bounded arrays reach the driver.  Matches that
 failed their check over several words say nothing and are left out.  Copies of linked variables without their own features teach
 the skip potentials to stand alone.  Decoding has no bounds: it sees all words of all texts.
 
@@ -379,7 +379,7 @@ def examples(g: Graph) -> tuple[np.ndarray, np.ndarray]:
         pair = pair[g.trusted[pair].all(1)]
         for a, b in (pair.T, pair.T[::-1]):
             linked[b, i, g.state[a]] = 1
-    table = np.concatenate([g.features.astype(np.uint8), before, after, linked.reshape(n, -1), g.state[:, None].astype(np.uint8)], axis=1)
+    table = np.concatenate([g.features.astype(np.uint8), before, after, linked.reshape(n, len(LINKS) * STATES), g.state[:, None].astype(np.uint8)], axis=1)
     return table[g.trusted], g.row[g.trusted]
 
 
