@@ -3,7 +3,9 @@
 Every vector's distances to a few pivots are computed once.  The pivots span a simplex; a vector is the apex over
 it that has these distances: coordinates in the simplex's own space, and a height above it that is known but for
 its side.  The Euclidean distance of two apexes with heights on one side is a lower bound of the distance of the two vectors,
-with heights on opposite sides an upper bound.  The apexes are stored beside the vectors and serve all rounds.
+with heights on opposite sides an upper bound.  The pivots are the starting centroids, whose own heights are zero, and once more the
+centroids after the first round, which move the most; later centroids stay close to the simplex.  The apexes are stored
+beside the vectors and serve all rounds until then or from then on.
 
 An assignment drops the centroids whose lower bound is above the least upper bound of any centroid and compares
 the others by exact integer distances.  The bounds are widened by more than their rounding error, so no nearest centroid and no
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from fraudlens.session import fresh_path
 
-CENTROIDS, ROUNDS, LENGTH, PIVOTS = 16, 3, 64, 6
+CENTROIDS, ROUNDS, LENGTH, PIVOTS = 16, 3, 64, 16
 TOO_LARGE = 2.0**20  # of a component before it is scaled
 SCALE = 64
 #: Rows whose bounds and differences a task holds at once.
@@ -44,7 +46,7 @@ class Simplex(NamedTuple):
     pivots: np.ndarray  # p x length
     base: np.ndarray  # (p - 1) x (p - 1), rows: pivots 1 .. p - 1 with pivot 0 at the origin
     inverse: np.ndarray
-    slack: float  # bound of the relative rounding error of squared bounds
+    slack: float  # more than the rounding error of squared bounds, as a share of the sizes
 
 
 # --- Geometry ---------------------------------------------------------------------
@@ -84,7 +86,8 @@ def simplex(candidates: np.ndarray, limit: int = PIVOTS) -> Simplex | None:
     base = np.tril(coordinates[picked[1:]])
     inverse = np.linalg.inv(base)
     condition = np.linalg.norm(base) * np.linalg.norm(inverse)
-    return Simplex(candidates[picked], base, inverse, 1e-13 * len(base) * condition**2)
+    # a squared height is off by its rounding times the condition squared, so a small height by the root of that
+    return Simplex(candidates[picked], base, inverse, 8 * condition * np.sqrt(1e-15 * len(base)))
 
 
 def apex(shape: Simplex, distances: np.ndarray) -> np.ndarray:
@@ -142,7 +145,7 @@ def starting(vectors: DataFrame, k: int = CENTROIDS) -> np.ndarray:
     """The k vectors whose id has the smallest hash, at most k rows."""
     key = F.sha2(F.concat(F.lit("1:"), F.col("vec_id").cast("string")), 256)
     rows = vectors.where("vec_id is not null").orderBy(key, "v").limit(k).select("v").collect()
-    return np.array([r.v for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r.v for r in rows], np.int64)
 
 
 def _matrix(column: pa.Array, kind) -> np.ndarray:
@@ -161,14 +164,16 @@ def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def with_apexes(vectors: DataFrame, shape: Simplex | None) -> DataFrame:
-    """``vec_id, v, apex``, where the apex caches what the distances to the pivots say."""
+    """``vec_id, v, apex`` as a stored table; the apex caches what the distances to the pivots say."""
     def run(batches):
         for piece in _pieces(batches):
             v = _matrix(piece.column(1), np.int64)
             tops = np.zeros((len(v), 1)) if shape is None else apex(shape, squared(v, shape.pivots))
             yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), _lists(tops)], ["vec_id", "v", "apex"])
 
-    return vectors.mapInArrow(run, "vec_id long, v array<int>, apex array<double>")
+    path = fresh_path(vectors.sparkSession, "apexes")
+    vectors.select("vec_id", "v").mapInArrow(run, "vec_id long, v array<int>, apex array<double>").write.parquet(path)
+    return vectors.sparkSession.read.parquet(path)
 
 
 def _assigned(batches: Iterable[pa.RecordBatch], shape: Simplex | None, centroids: np.ndarray):
@@ -220,11 +225,12 @@ def cluster(embeddings: DataFrame, k: int = CENTROIDS, rounds: int = ROUNDS, len
         kinds = {"vec_id": "long", "cluster": "int", "distance": "long", "cluster_inertia": "long", "inertia": "long"}
         return spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in kinds.items())), centroids
     shape = simplex(centroids)
-    path = fresh_path(spark, "apexes")
-    with_apexes(vectors, shape).write.parquet(path)
-    stored = spark.read.parquet(path)
-    for _ in range(rounds):
+    stored = with_apexes(vectors, shape)
+    for done in range(rounds):
         centroids = moved(stored, shape, centroids)
+        if done == 0:
+            shape = simplex(centroids)
+            stored = with_apexes(stored, shape)
     path = fresh_path(spark, "assigned")
     assign(stored, shape, centroids).write.parquet(path)
     final = spark.read.parquet(path)
