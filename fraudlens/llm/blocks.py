@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 #: White space that ends a word: space, tab, line feed, vertical tab, form feed, return.
 SPACES = b" \t\n\x0b\x0c\r"
 STEP = np.uint64(0x9E3779B97F4A7C15)
-LIMIT = 2 << 20
+LIMIT = 1 << 20
 
 
 class Block(NamedTuple):
@@ -49,6 +49,14 @@ def documents(docs: DataFrame) -> DataFrame:
 
 
 def blocks(batches: Iterable[pa.RecordBatch], limit: int = LIMIT, text: str = "text") -> Iterator[Block]:
+    """The blocks of a task.  When they end, Arrow gives back what it holds: the worker lives on for other stages."""
+    try:
+        yield from _blocks(batches, limit, text)
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
+def _blocks(batches: Iterable[pa.RecordBatch], limit: int, text: str) -> Iterator[Block]:
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -110,7 +118,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             run = np.full(size, b, np.uint64)
             run[0] = 1
             made.append(np.cumprod(run, dtype=np.uint64))
-        if n > 4 * LIMIT:  # a giant text: not kept
+        if n > LIMIT + 1:  # a giant text: not kept
             return made[0][:n], made[1][:n]
         _POWERS[base] = (made[0], made[1])
     up, down = _POWERS[base]

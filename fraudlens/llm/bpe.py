@@ -39,7 +39,8 @@ CHUNK = re.compile(r"(?:[^\s]|[\x1c-\x1f])+")
 #: Rows of small trees that advance together, and the longest word they take.
 SMALL = 32
 NONE = np.int64(1 << 62)
-CACHE = 600_000
+#: Bytes of the words kept with their ids, at about 200 an entry beside its characters.
+CACHE = 64 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -102,7 +103,7 @@ class Encoder:
         self.path = path
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.cache = Numbering()
-        self.flat, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.flat, self.first, self.held = np.zeros(0, np.int32), np.zeros(1, np.int64), 0
 
     # --- Merging -------------------------------------------------------------
 
@@ -266,11 +267,12 @@ class Encoder:
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))])
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+        self.held += sum(map(len, chunks)) + 200 * len(chunks)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text begins (one more entry than texts)."""
-        if len(self.cache) > CACHE:
-            self.cache, self.flat, self.first = Numbering(), np.zeros(0, np.int32), np.zeros(1, np.int64)
+        if self.held > CACHE:
+            self.cache, self.flat, self.first, self.held = Numbering(), np.zeros(0, np.int32), np.zeros(1, np.int64), 0
         chunks = [CHUNK.findall(t) if any(c in t for c in NOT_WHITE) else t.split() for t in texts]
         known, had = self.cache, len(self.cache)
         total = sum(map(len, chunks))
