@@ -7,6 +7,7 @@ whose result SQL cannot compute (fitted models) have no check query.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -27,7 +28,7 @@ from fraudlens.schema import (
 )
 from fraudlens.session import fresh_path, prepare
 from fraudlens.sources import adapters, files, sinks
-from fraudlens.streaming import alert_stream
+from fraudlens.streaming import alert_stream, batched_scoring, multiplex
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1010,7 +1011,7 @@ def _(spark, sf_dir):
         return writer.start(f"{path}/windows")
 
     stored = adapters.transactions(spark, sf_dir)
-    alert_stream.run_to_end(_event_stream(spark, sf_dir), stored, start, f"{path}/closing", DAY)
+    alert_stream.run_to_end(_event_stream(spark, sf_dir), stored, start, f"{path}/closing", DAY, at_once=True)
     return spark.read.parquet(f"{path}/windows")
 
 
@@ -1024,7 +1025,7 @@ def _run_alert_job(spark: SparkSession, sf_dir: str, scorer, threshold: int = SC
         return alert_stream.start_alert_job(rows, sink, f"{path}/checkpoint", {"availableNow": True})
 
     stored = adapters.transactions(spark, sf_dir)
-    alert_stream.run_to_end(_event_stream(spark, sf_dir), stored, start, f"{path}/closing", DAY)
+    alert_stream.run_to_end(_event_stream(spark, sf_dir), stored, start, f"{path}/closing", DAY, at_once=True)
     return path
 
 
@@ -1088,6 +1089,99 @@ def _(spark, sf_dir):
     return spark.read.parquet(f"{path}/suspicious_transactions").drop("batch_id")
 
 
+def _run_domain_streams(spark: SparkSession, sf_dir: str) -> str:
+    """Each domain's records as a stream of its own, merged into windows; returns their folder."""
+    path = fresh_path(spark, "domain_streams")
+    domains = ["gaming", "ecommerce", "fintech"]
+    tx = adapters.transactions(spark, sf_dir)
+    records = adapters.raw_events_from(tx).select("value", F.get_json_object("value", "$.domain").alias("domain"))
+    records.filter("domain IS NOT NULL").write.partitionBy("domain").text(f"{path}/topics")
+    raw = {d: files.event_stream(spark, f"{path}/topics/domain={d}", source="text") for d in domains}
+    merged = multiplex.multiplexed({d: alert_stream.transactions_of(r) for d, r in raw.items()}, f"{path}/beats")
+    # All windows close: each source says that it has nothing before a time past the last of them.
+    newest = tx.agg(F.max("timestamp").alias("newest")).filter("newest IS NOT NULL").collect()
+    if newest:
+        multiplex.beat(spark, f"{path}/beats", domains, newest[0]["newest"] + timedelta(days=2))
+    alert_stream.keep_state_on_disk(spark)
+    closed = windows.tumbling_windows(merged, DAY, "event_time").select(*_WINDOW_NAMES)
+    job = closed.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{path}/checkpoint")
+    job.trigger(availableNow=True).start(f"{path}/windows").awaitTermination()
+    return f"{path}/windows"
+
+
+@query("stream_domains", check(f"SELECT {_WINDOW_COLUMNS} FROM win", "win", accepted_only=True))
+def _(spark, sf_dir):
+    return spark.read.schema(daily_windows(spark, sf_dir).select(*_WINDOW_NAMES).schema).parquet(_run_domain_streams(spark, sf_dir))
+
+
+def _run_batched_job(spark: SparkSession, sf_dir: str, flush_ms: int = 1000) -> str:
+    """Windows scored in batches of at most 100; returns the folder of the scored windows."""
+    path = fresh_path(spark, "batched_scores")
+    stored = adapters.transactions(spark, sf_dir)
+    newest = stored.agg(F.max("timestamp").alias("newest")).collect()[0]["newest"]
+    columns = [*batched_scoring.FLUSH, *_SCORED]
+    daily_windows(spark, sf_dir).limit(0).select(
+        F.lit("").alias("flush_id"), F.lit(0).alias("flush_size"), F.lit("").alias("flush_reason"), "*",
+        F.lit(0).alias("fraud_score"), F.lit("").alias("model_version"), F.lit(0).alias("inference_time_ms"),
+    ).select(*columns).write.parquet(f"{path}/scored/batch_id=-1")
+    if newest is None:
+        return f"{path}/scored"
+    last = newest + timedelta(days=2)
+    closing = spark.createDataFrame([("closing", "closing", last)], "transaction_id string, actor_id string, timestamp timestamp")
+    kinds = {f.name: f.dataType for f in stored.schema}
+    closing.select(*[
+        (F.col(n) if n in closing.columns else F.lit(None)).cast(t).alias(n) for n, t in kinds.items()
+    ]).write.parquet(f"{path}/closing")
+
+    def sink(scored: DataFrame, batch_id: int) -> None:
+        scored.select(*columns).write.mode("overwrite").parquet(f"{path}/scored/batch_id={batch_id}")
+
+    ended = spark.readStream.schema(stored.schema).parquet(f"{path}/closing")
+    job = batched_scoring.start_batched_job(
+        _event_stream(spark, sf_dir).unionByName(ended), adapters.rule_scorer, sink, f"{path}/checkpoint", DAY,
+        flush_ms=flush_ms, lanes=4, trigger={"processingTime": "200 milliseconds"},
+    )
+    try:
+        mark = (last - timedelta(minutes=1)).strftime("%Y-%m-%dT%H:%M:%S")
+        batched_scoring.wait_until(job, lambda: batched_scoring.is_drained(job, mark), 900)
+    finally:
+        job.stop()
+    return f"{path}/scored"
+
+
+_SCORED = [
+    "alert_id", "actor_id", "domain", "transaction_count", "total_amount", "window_start", "window_end",
+    "fraud_patterns", "top_fraud_pattern", "first_txn", "last_timestamp", "window_seconds",
+    "fraud_score", "model_version", "inference_time_ms",
+]
+
+
+@query("stream_batched_alerts", check(_STREAM_ALERT_SQL, "stream_scored"))
+def _(spark, sf_dir):
+    scored = spark.read.parquet(_run_batched_job(spark, sf_dir))
+    return al.build_alerts(scored).select(*_STREAM_ALERT)
+
+
+@query(
+    "stream_batch_sizes",
+    check(
+        """SELECT count(*) AS windows, true AS none_above_100, true AS full_by_size, true AS whole,
+        count(DISTINCT alert_id) AS distinct_windows FROM stream_scored""",
+        "stream_scored",
+    ),
+)
+def _(spark, sf_dir):
+    """Every window leaves in one batch of at most 100; a batch is full, or left by its timer."""
+    scored = spark.read.parquet(_run_batched_job(spark, sf_dir))
+    flushes = scored.groupBy(*batched_scoring.FLUSH).agg(F.count("*").alias("rows"))
+    return flushes.agg(
+        F.sum("rows").alias("windows"), (F.max("rows") <= 100).alias("none_above_100"),
+        F.min((F.col("rows") == 100) == (F.col("flush_reason") == "size")).alias("full_by_size"),
+        F.min(F.col("rows") == F.col("flush_size")).alias("whole"),
+        scored.agg(F.countDistinct("alert_id")).scalar().alias("distinct_windows"),
+    )
+
+
 # --- Models (rows only) -------------------------------------------------------------------------
 
 
