@@ -116,7 +116,7 @@ def alert_total(alerts: DataFrame) -> DataFrame:
     return alerts.agg(F.count("*").alias("total"))
 
 
-def _newest_first(alerts: DataFrame) -> DataFrame:
+def newest_first(alerts: DataFrame) -> DataFrame:
     return alerts.orderBy(F.desc("last_seen"), F.desc("alert_id"))
 
 
@@ -131,7 +131,8 @@ def alerts_page(
     """One page, newest first, with the total under the same filters and the page number.
 
     ``after=(last_seen, alert_id)`` continues behind the last row of the previous page
-    with a pushed-down filter, which keeps late pages as cheap as the first.
+    with a pushed-down filter, which keeps late pages as cheap as the first; so does
+    ``alert_index.page_by_number`` for a page that is named by its number.
     """
     matching = filter_alerts(alerts, domain, severity)
     rows = matching
@@ -141,7 +142,7 @@ def alerts_page(
             (F.col("last_seen") <= seen)
             & ((F.col("last_seen") < seen) | (F.col("alert_id") < key))
         )
-    rows = _newest_first(rows)
+    rows = newest_first(rows)
     if after is None and page > 1:
         rows = rows.offset((page - 1) * limit)
     return alert_summary(rows.limit(limit)).select(
@@ -168,7 +169,7 @@ def alerts_envelope(
 
 
 def alert_feed(alerts: DataFrame, k: int = 10) -> DataFrame:
-    return _newest_first(alerts).limit(k).select(
+    return newest_first(alerts).limit(k).select(
         "alert_id", "domain", "actor_id", "alert_type", "total_amount", "severity", "fraud_score"
     )
 

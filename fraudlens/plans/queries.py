@@ -27,7 +27,7 @@ from fraudlens.schema import (
     TRANSACTION_COLUMNS,
 )
 from fraudlens.session import fresh_path, prepare
-from fraudlens.sources import adapters, files, sinks
+from fraudlens.sources import adapters, alert_index, files, sinks
 from fraudlens.streaming import alert_stream, batched_scoring, multiplex
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,9 +95,9 @@ def alert_tables(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _ALERT_TABLES:
         path = fresh_path(spark, "alert_tables")
-        alerts = built_alerts(spark, sf_dir)
+        stored = sinks.write_alerts(built_alerts(spark, sf_dir), path)
         members = windows.window_members(adapters.transactions(spark, sf_dir), DAY)
-        sinks.write_alert_tables(alerts, al.alert_children(alerts, members), path)
+        sinks.write_alert_transactions(al.alert_children(stored, members), path)
         _ALERT_TABLES[key] = path
     return _ALERT_TABLES[key]
 
@@ -459,6 +459,28 @@ def _(spark, sf_dir):
     return al.alerts_page(stored_alerts(spark, sf_dir), domain="gaming", severity="high", page=2)
 
 
+@query(
+    "alerts_page_by_number",
+    check(
+        f"{_PAGE}, 3 AS page FROM m ORDER BY last_seen DESC, alert_id DESC LIMIT 25 OFFSET 50",
+        "alerts",
+        extra={"m": "SELECT * FROM alerts WHERE domain = 'fintech' AND severity = 'CRITICAL'"},
+    ),
+)
+def _(spark, sf_dir):
+    index = spark.read.parquet(f"{alert_tables(spark, sf_dir)}/alert_pages")
+    return alert_index.page_by_number(stored_alerts(spark, sf_dir), index, "fintech", "critical", page=3, limit=25)
+
+
+@query(
+    "alert_page_counts",
+    check("SELECT domain, severity, count(*) AS alerts FROM alerts GROUP BY 1, 2", "alerts"),
+)
+def _(spark, sf_dir):
+    index = spark.read.parquet(f"{alert_tables(spark, sf_dir)}/alert_pages")
+    return index.groupBy("domain", "severity").agg(F.sum("rows").alias("alerts"))
+
+
 @query(
     "alerts_empty_page",
     check(
@@ -539,8 +561,7 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    stored = stored_alerts(spark, sf_dir), stored_children(spark, sf_dir)
-    return al.alert_detail(*stored, "A0:1704499200")
+    return alert_index.lookup(spark, alert_tables(spark, sf_dir), "A0:1704499200")
 
 
 # --- Velocity ------------------------------------------------------------------------

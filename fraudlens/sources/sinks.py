@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from fraudlens.functions.parsing import JSON_OPTIONS, TIMESTAMP_FORMAT, to_snake_json
+from fraudlens.session import prepare
+from fraudlens.sources.alert_index import BUCKET_ROWS, RANGE_ROWS, write_by_id, write_page_index
 
 
 def write_by_domain(df: DataFrame, path: str) -> None:
@@ -56,15 +58,27 @@ def flat_patterns(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("patterns_detected", F.array_join("patterns_detected", ","))
 
 
+def write_alerts(alerts: DataFrame, path: str, file_rows: int = RANGE_ROWS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """The alerts of a batch job in files that each hold a stretch of time of one domain, which is what the
+    alert queries filter and order by, with their indexes (see ``alert_index``); returns the stored table."""
+    spark, order = prepare(alerts.sparkSession), ["domain", "last_seen", "alert_id"]
+    ranged = alerts.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.write.mode("overwrite").option("maxRecordsPerFile", file_rows).partitionBy("domain").parquet(f"{path}/fraud_alerts")
+    stored = spark.read.schema(alerts.schema).parquet(f"{path}/fraud_alerts").select(*alerts.columns)
+    write_by_id(stored, f"{path}/alerts_by_id", [], bucket_rows)
+    write_page_index(stored, f"{path}/alert_pages", file_rows)
+    return stored
+
+
+def write_alert_transactions(children: DataFrame, path: str, bucket_rows: int = BUCKET_ROWS) -> None:
+    """The transactions of alerts in buckets of the alert's id."""
+    write_by_id(children, f"{path}/suspicious_transactions", ["transaction_id"], bucket_rows)
+
+
 def write_alert_tables(alerts: DataFrame, children: DataFrame, path: str) -> None:
-    """Both alert tables from a batch job: alerts by domain and in time order within files,
-    which is what the alert queries filter and order by; transactions in ranges of ``alert_id``,
-    so that a lookup reads the files and row groups whose bounds hold the id."""
-    alerts.sortWithinPartitions("last_seen").write.mode("overwrite").partitionBy("domain").parquet(
-        f"{path}/fraud_alerts"
-    )
-    ranged = children.repartitionByRange("alert_id", "transaction_id").sortWithinPartitions("alert_id", "transaction_id")
-    ranged.write.mode("overwrite").parquet(f"{path}/suspicious_transactions")
+    """Both alert tables from a batch job."""
+    write_alerts(alerts, path)
+    write_alert_transactions(children, path)
 
 
 def split_alert_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
