@@ -15,7 +15,7 @@ from fraudlens.functions import features, parsing, scoring
 from fraudlens.operators import (
     alerts as al, analytics, evaluate, labels as lb, positions, reports, rollup, windows,
 )
-from fraudlens.plans import training
+from fraudlens.plans import forest, training
 from fraudlens.plans.checks import MISMATCH, RISKY, check, velocity_cte
 from fraudlens.schema import (
     ALERT_COLUMNS,
@@ -1242,6 +1242,49 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "flat_forest_agreement",
+    check("SELECT count(*) AS actors, count(*) AS equal_rows FROM actor_groups", "actor_groups"),
+)
+def _(spark, sf_dir):
+    """Rows that the flat forest and the pipeline score alike, in every column."""
+    path = fresh_path(spark, "train")
+    model = _fitted(spark, sf_dir, path)
+    groups = actor_groups(spark, sf_dir)
+    pipeline = training.score_groups(groups, training.model_scorer(model))
+    flat = training.score_groups(groups, forest.forest_scorer(forest.load_forest(spark, f"{path}/model")))
+    return pipeline.agg(F.count("*").alias("actors")).select(
+        "actors", pipeline.intersectAll(flat).agg(F.count("*")).scalar().alias("equal_rows")
+    )
+
+
+@query(
+    "training_facts",
+    check(
+        """SELECT count(*) AS feature_rows, count(*) AS split_rows, 0 AS in_both_parts, true AS known_labels,
+        count(*) AS validated_rows, true AS metrics_in_range, 5 AS stages, 150 AS trees FROM rollup""",
+        "rollup",
+    ),
+)
+def _(spark, sf_dir):
+    """What SQL can say about training: the split is whole and disjoint, labels are known, the saved model applies."""
+    path = fresh_path(spark, "train")
+    model = _fitted(spark, sf_dir, path)
+    feats = spark.read.parquet(f"{path}/features")
+    fit_rows, test_rows = training.hash_split(feats)
+    known = feats.filter(F.col(training.LABEL).isin(training.model_labels(model))).select(training.LABEL).distinct()
+    metrics = spark.read.json(f"{path}/model_metrics")
+    inside = F.min(F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1))
+    count = lambda rows: rows.agg(F.count("*")).scalar()
+    return metrics.agg(
+        count(feats).alias("feature_rows"), count(fit_rows.unionAll(test_rows)).alias("split_rows"),
+        count(fit_rows.join(test_rows, "actor_id", "left_semi")).cast("int").alias("in_both_parts"),
+        (count(known) == F.lit(len(training.model_labels(model)))).alias("known_labels"),
+        count(training.validate_model(f"{path}/model", feats)).alias("validated_rows"), inside.alias("metrics_in_range"),
+        F.lit(len(model.stages)).alias("stages"), F.lit(model.stages[-1].getNumTrees).alias("trees"),
+    )
+
+
 @query("single_actor_score")
 def _(spark, sf_dir):
     model = _fitted(spark, sf_dir, fresh_path(spark, "train"))
