@@ -84,7 +84,12 @@ def velocity(alerts: DataFrame, bucket_seconds: int = 5, trend_rows: int = 1) ->
     meets the one ``trend_rows + 1`` places before it in an equi-join on (domain, place); no
     task orders a whole domain.
     """
-    series = _running(velocity_buckets(alerts, bucket_seconds), bucket_seconds)
+    return velocity_series(velocity_buckets(alerts, bucket_seconds), bucket_seconds, trend_rows)
+
+
+def velocity_series(buckets: DataFrame, bucket_seconds: int, trend_rows: int = 1) -> DataFrame:
+    """The series of buckets (see ``velocity_buckets``), however they were counted."""
+    series = _running(buckets, bucket_seconds)
     start = series.select(
         F.col("domain").alias("_domain"), (F.col("_place") + trend_rows + 1).alias("_at"),
         F.col("y3_cumulative").alias("_start"),

@@ -27,8 +27,8 @@ from fraudlens.schema import (
     TRANSACTION_COLUMNS,
 )
 from fraudlens.session import fresh_path, prepare
-from fraudlens.sources import adapters, alert_index, files, sinks
-from fraudlens.streaming import alert_stream, batched_scoring, multiplex
+from fraudlens.sources import adapters, alert_index, alert_store, files, sinks
+from fraudlens.streaming import alert_stream, batched_scoring, live_velocity, multiplex
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1203,6 +1203,73 @@ def _(spark, sf_dir):
     )
 
 
+BATCHES = 4
+
+
+def _alert_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The stored alerts with their transactions as the batches of a stream, cut by a hash of the id."""
+    alerts, children = stored_alerts(spark, sf_dir), stored_children(spark, sf_dir)
+    rows = alerts.select("alert_id", F.struct(*ALERT_COLUMNS).alias("alert"), F.lit(None).alias("txn")).unionByName(
+        children.select("alert_id", F.struct(*TRANSACTION_COLUMNS).alias("txn")), allowMissingColumns=True
+    )
+    of = F.pmod(F.xxhash64("alert_id"), F.lit(BATCHES))
+    return [rows.filter(of == b) for b in range(BATCHES)]
+
+
+def _run_batches(spark: SparkSession, sf_dir: str, sink) -> None:
+    """Every batch once, and two of them again."""
+    batches = _alert_batches(spark, sf_dir)
+    for b in [0, 1, 1, 2, 0, 3]:
+        sink(batches[b], b)
+
+
+@query("velocity_maintained", _velocity_check("SELECT * FROM velocity", 5))
+def _(spark, sf_dir):
+    path = fresh_path(spark, "live_velocity")
+    _run_batches(spark, sf_dir, live_velocity.alert_sink_with_velocity(path))
+    return live_velocity.velocity_now(spark, path)
+
+
+@query(
+    "stream_generated_keys",
+    check(
+        """SELECT (SELECT count(*) FROM alerts) AS alerts, (SELECT count(*) FROM alerts) AS distinct_keys,
+        (SELECT count(*) FROM alerts) AS unchanged_keys, (SELECT count(*) FROM children) AS transactions,
+        (SELECT count(*) FROM children) AS referring""",
+        "alerts", "children",
+    ),
+)
+def _(spark, sf_dir):
+    """Keys are unique, the same after batches were run again, and referred to by every transaction."""
+    path = fresh_path(spark, "keyed_alerts")
+    sink, batches = alert_store.keyed_alert_sink(path), _alert_batches(spark, sf_dir)
+    for b, rows in enumerate(batches):
+        sink(rows, b)
+    first = fresh_path(spark, "first_keys")
+    alert_store.read_table(spark, path).select("alert_id", "alert_key").write.parquet(first)
+    for b in (2, 0):
+        sink(batches[b].repartition(3), b)
+    alerts = alert_store.read_table(spark, path).select("alert_id", "alert_key")
+    children = alert_store.read_table(spark, path, alert_store.TRANSACTIONS)
+    count = lambda rows: rows.agg(F.count("*")).scalar()
+    return alerts.agg(
+        F.count("*").alias("alerts"), F.countDistinct("alert_key").alias("distinct_keys"),
+        count(alerts.intersect(spark.read.parquet(first))).alias("unchanged_keys"), count(children).alias("transactions"),
+        count(children.join(alerts, ["alert_id", "alert_key"], "left_semi")).alias("referring"),
+    )
+
+
+@query("alerts_compacted", check(f"SELECT {', '.join(ALERT_SUMMARY_COLUMNS)} FROM alerts", "alerts"))
+def _(spark, sf_dir):
+    """The store after its closed batches were put together."""
+    path = fresh_path(spark, "compacted_alerts")
+    _run_batches(spark, sf_dir, sinks.parquet_alert_sink(path))
+    alert_store.compact(spark, path, through=1)
+    alert_store.compact(spark, path)
+    alert_store.vacuum(spark, path)
+    return al.alert_summary(alert_store.read_table(spark, path))
+
+
 # --- Models (rows only) -------------------------------------------------------------------------
 
 
