@@ -89,10 +89,11 @@ def mark_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """The documents with their repeated lines removed: same rows, same columns.
+    """The documents with their repeated lines removed: same rows, same columns, whatever their names.
 
     A null text stays null; a text of which no line goes stays as it is.
     """
-    marked = mark_repeated_lines(docs, min_chars, min_docs)
+    own = {c: f"__own_{c}" for c in ("dropped_lines", "kept_text") if c in docs.columns}
+    marked = mark_repeated_lines(docs.withColumnsRenamed(own), min_chars, min_docs)
     text = F.when(F.col("dropped_lines").isNull(), F.col("text")).otherwise(F.col("kept_text"))
-    return marked.withColumn("text", text).drop("dropped_lines", "kept_text")
+    return marked.withColumn("text", text).drop("dropped_lines", "kept_text").withColumnsRenamed({v: k for k, v in own.items()})
