@@ -10,7 +10,7 @@ A packed row has its ids (two or four bytes each, little-endian, padded behind t
 the cumulative lengths of its segments, positions that start again at each segment, and where
 each segment comes from (document and offset in its tokens), so the texts can be restored.
 
-Defined cases: a null or empty text has no tokens and takes no room; a null ``doc_id`` keeps its
+Defined cases: a text of any length and kind is encoded whole, also one run of white space, letters or signs; a null or empty text has no tokens and takes no room; a null ``doc_id`` keeps its
 segments under null; rows that share a ``doc_id`` are packed one by one; ties in length go in order of
 appearance; an empty table gives an empty table; other columns are ignored.
 """
@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import base64
 import os
+import re
+import uuid
 from functools import lru_cache
 from urllib.parse import urlparse
 
@@ -34,6 +36,10 @@ LENGTH, GROUP = 2048, 1 << 20
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+#: Runs of white space that the pattern above is kept from: its lookahead needs a stack as long as the run.
+LONG_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{20000,}")
+
+
 @lru_cache(maxsize=2)
 def encoding(path: str) -> tiktoken.Encoding:
     """A vocabulary of ranks; the id behind the last rank is free and pads."""
@@ -42,6 +48,26 @@ def encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode(coder: tiktoken.Encoding, texts: list[str]) -> list[list[int]]:
+    """Ids of each text, also of one with very long runs of white space.
+
+    The pattern takes such a run as one piece, but for its last character where something follows: that one goes
+    with what follows.  So the run is cut off there and merged as the piece it is, and the rest is encoded by itself.
+    """
+    out = coder.encode_ordinary_batch([t if not LONG_WHITE.search(t) else "" for t in texts], num_threads=1)
+    for i, text in enumerate(texts):
+        at = 0
+        for run in LONG_WHITE.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out[i] += coder.encode_ordinary(text[at : run.start()])
+            if end > run.start():
+                out[i] += coder._encode_single_piece(text[run.start() : end].encode())
+            at = end
+        if at:
+            out[i] += coder.encode_ordinary(text[at:])
+    return out
+
+
 class Rooms:
     """Open rows by room left; finds the least room that is enough."""
 
@@ -123,7 +149,7 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, group: int = GROUP) -
         pieces, held = [], 0
         for block in blocks(batches):
             texts = [t.decode("utf-8", "replace") for t in block.texts()]
-            for doc, ids in zip(block.rows.column(0).to_pylist(), coder.encode_ordinary_batch(texts, num_threads=1)):
+            for doc, ids in zip(block.rows.column(0).to_pylist(), encode(coder, texts)):
                 own = np.array(ids, kind)
                 pieces.extend((doc, at, own[at : at + length]) for at in range(0, len(own), length))
                 held += len(own)
@@ -157,7 +183,7 @@ def write_matrices(packed: DataFrame, folder: str, length: int = LENGTH) -> Data
             stem = f"{place.path}/{hashlib.sha256(ids).hexdigest()[:24]}"
             lengths = np.array([len(segments), *(len(s) for s in segments), *(x for s in segments for x in s)], "<i4")
             for name, data in ((f"{stem}.ids", ids), (f"{stem}.segments", lengths.tobytes())):
-                with open(f"{name}.{os.getpid()}", "wb") as file:
+                with open(f"{name}.{uuid.uuid4().hex}", "wb") as file:
                     file.write(data)
                 os.replace(file.name, name)
             docs = batch.column(2).to_pylist()

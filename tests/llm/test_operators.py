@@ -82,6 +82,29 @@ def test_packed_rows_restore_the_texts(spark, tmp_path):
     assert packing.pack(table(spark, []), public_tokenizers.path("byte_bpe_50k.tiktoken")).count() == 0
 
 
+def test_long_white_space_is_encoded_like_the_library(spark, monkeypatch):
+    """With a low bound every run is cut; the ids stay the library's."""
+    coder = packing.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rng = random.Random(8)
+    kinds = [" ", "  ", "\n", "\t", "\xa0", "\u3000", "\x1c", "a", "é", "1", "'s", "$", "\r\n"]
+    texts = ["".join(rng.choice(kinds) * rng.randint(1, 6) for _ in range(rng.randint(0, 12))) for _ in range(500)]
+    for low in (1, 2, 3):
+        with monkeypatch.context() as m:
+            m.setattr(packing, "LONG_WHITE", re.compile(packing.LONG_WHITE.pattern.replace("20000", str(low))))
+            assert packing.encode(coder, texts) == [coder.encode_ordinary(t) for t in texts]
+    spaces = " " * 10_000_000
+    (ids,) = packing.encode(coder, [f"x{spaces}y"])
+    assert coder.decode(ids) == f"x{spaces}y" and ids[-1:] == coder.encode_ordinary(" y")
+    rows = [(1, " " * 1_000_000), (2, "\n" * 1_000_000 + "end"), (3, "a" * 1_000_000), (4, "$" * 1_000_000), (5, None)]
+    packed = packing.pack(table(spark, rows), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    sizes = {d: len(i) for (d, t), i in zip(rows, packing.encode(coder, [t or "" for _, t in rows]))}
+    got = Counter()
+    for r in packed.collect():
+        for a, b, doc in zip(r.cu_seqlens, r.cu_seqlens[1:], r.doc_ids):
+            got[doc] += b - a
+    assert got == {d: n for d, n in sizes.items() if n}
+
+
 # --- 2 -------------------------------------------------------------------------
 
 
