@@ -310,7 +310,8 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     members = windows.window_members(adapters.transactions(spark, sf_dir), DAY)
-    return positions.numbered(members, ["alert_id"]).select("alert_id", "transaction_id", "position")
+    narrow = members.select("alert_id", "timestamp", "transaction_id")
+    return positions.numbered(narrow, ["alert_id"]).select("alert_id", "transaction_id", "position")
 
 
 @query(
@@ -336,9 +337,8 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    return positions.numbered(adapters.transactions(spark, sf_dir), ["actor_id"]).select(
-        "transaction_id", "position"
-    )
+    narrow = adapters.transactions(spark, sf_dir).select("actor_id", "timestamp", "transaction_id")
+    return positions.numbered(narrow, ["actor_id"]).select("transaction_id", "position")
 
 
 @query("chronological_merge", check("SELECT timestamp, transaction_id, actor_id FROM tx ORDER BY 1, 2", "tx"))
