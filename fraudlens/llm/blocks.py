@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 SPACES = b" \t\n\x0b\x0c\r"
 STEP = np.uint64(0x9E3779B97F4A7C15)
 LIMIT = 1 << 20
+#: Longest run of powers that a worker keeps.
+KEPT = (8 << 20) + 1
 
 
 class Block(NamedTuple):
@@ -112,13 +114,13 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of an odd base and of its inverse, modulo 2**64."""
     if base not in _POWERS or len(_POWERS[base][0]) < n:
-        size = max(n, LIMIT + 1)
+        size = LIMIT + 1 if n <= LIMIT + 1 else max(n, KEPT)
         made = []
         for b in (base, pow(base, -1, 1 << 64)):
             run = np.full(size, b, np.uint64)
             run[0] = 1
             made.append(np.cumprod(run, dtype=np.uint64))
-        if n > LIMIT + 1:  # a giant text: not kept
+        if n > KEPT:  # a giant text: not kept
             return made[0][:n], made[1][:n]
         _POWERS[base] = (made[0], made[1])
     up, down = _POWERS[base]
