@@ -37,7 +37,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 
 #: Runs of white space that the pattern above is kept from: its lookahead needs a stack as long as the run.
-LONG_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{20000,}")
+LONG = 20_000
+LONG_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG)
 
 
 @lru_cache(maxsize=2)
@@ -54,17 +55,17 @@ def encode(coder: tiktoken.Encoding, texts: list[str]) -> list[list[int]]:
     The pattern takes such a run as one piece, but for its last character where something follows: that one goes
     with what follows.  So the run is cut off there and merged as the piece it is, and the rest is encoded by itself.
     """
-    out = coder.encode_ordinary_batch([t if not LONG_WHITE.search(t) else "" for t in texts], num_threads=1)
-    for i, text in enumerate(texts):
-        at = 0
+    long = [i for i, t in enumerate(texts) if len(t) >= LONG and LONG_WHITE.search(t)]
+    out = coder.encode_ordinary_batch([t if i not in long else "" for i, t in enumerate(texts)], num_threads=1)
+    for i in long:
+        text, at = texts[i], 0
         for run in LONG_WHITE.finditer(text):
             end = run.end() if run.end() == len(text) else run.end() - 1
             out[i] += coder.encode_ordinary(text[at : run.start()])
             if end > run.start():
                 out[i] += coder._encode_single_piece(text[run.start() : end].encode())
             at = end
-        if at:
-            out[i] += coder.encode_ordinary(text[at:])
+        out[i] += coder.encode_ordinary(text[at:])
     return out
 
 

@@ -90,6 +90,7 @@ def test_long_white_space_is_encoded_like_the_library(spark, monkeypatch):
     texts = ["".join(rng.choice(kinds) * rng.randint(1, 6) for _ in range(rng.randint(0, 12))) for _ in range(500)]
     for low in (1, 2, 3):
         with monkeypatch.context() as m:
+            m.setattr(packing, "LONG", low)
             m.setattr(packing, "LONG_WHITE", re.compile(packing.LONG_WHITE.pattern.replace("20000", str(low))))
             assert packing.encode(coder, texts) == [coder.encode_ordinary(t) for t in texts]
     spaces = " " * 10_000_000
