@@ -135,6 +135,22 @@ def test_salts_do_not_change_the_result(make_tx):
         assert parents.count() == 1 and children.select("transaction_id").distinct().count() == 50
 
 
+def test_join_keys_of_an_alert_are_those_its_transactions_have(make_tx):
+    """One transaction needs one of the 16 keys; those of a burst still all arrive, the alert on one key's rows."""
+    tx = make_tx([{"timestamp": at("2025-01-15T10:00:00") + timedelta(seconds=i), "actor_id": "fraud_actor"} for i in range(3)]
+                 + [{"timestamp": at("2025-01-15T11:00:00"), "actor_id": "fraud_actor"}])
+    seen = []
+
+    def scorer(windows):
+        seen.append(windows.select("transaction_count", "_salts"))
+        return score_by_actor(windows)
+
+    rows = st.alert_rows(tx, scorer).collect()
+    assert len(rows) == 4 and len({r["alert_id"] for r in rows}) == 2 and {r["alert_id"] for r in rows if r["alert"]} == {r["alert_id"] for r in rows}
+    keys = {r["transaction_count"]: sorted(r["_salts"]) for r in seen[0].collect()}
+    assert len(keys[1]) == 1 and 1 <= len(keys[3]) <= 3
+
+
 def test_whole_job_keeps_damaged_records_and_closes_the_last_window(spark, tmp_path):
     """No later record comes, yet the burst's window leaves; every record is landed or quarantined."""
     (tmp_path / "in").mkdir()
