@@ -26,6 +26,9 @@ from fraudlens.streaming.alert_stream import Scorer, keep_state_on_disk, windows
 
 BATCH_SIZE, FLUSH_MS, LANES = 100, 5000, 16
 
+# Rows that one lane is given; a lane is a key, so one task reads all of it.
+LANE_ROWS = 25_000
+
 RELEASED = "flush_id string, flush_size int, flush_reason string, packed string"
 
 # Values go through the buffer as JSON; times keep their microseconds.
@@ -87,6 +90,14 @@ class ScoringBuffer(StatefulProcessor):
 FLUSH = ["flush_id", "flush_size", "flush_reason"]
 
 
+def lanes_for(rows: int, least: int = LANES) -> int:
+    """Lanes for a micro-batch of ``rows`` rows at most, so that a larger one is read by more tasks.
+
+    A job keeps the number it was started with: lanes are the keys of its state.
+    """
+    return max(least, -(-rows // LANE_ROWS))
+
+
 def released_batches(
     windows: DataFrame, batch_size: int = BATCH_SIZE, flush_ms: int = FLUSH_MS, lanes: int = LANES
 ) -> DataFrame:

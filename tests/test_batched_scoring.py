@@ -199,3 +199,10 @@ def test_no_source_speaks_and_all_are_idle():
     assert idle.to_move() == (["b"], at("2025-01-01T00:00:00"))
     idle.newest["b"] = at("2025-01-01T00:00:00") + timedelta(seconds=1)
     assert idle.to_move() == ([], at("2025-01-01T00:00:00"))
+
+
+def test_lanes_follow_the_rows():
+    """A lane is read by one task, so ten times the rows make ten times the lanes; small jobs keep what they had."""
+    assert bs.lanes_for(0, 4) == bs.lanes_for(100_000, 4) == 4
+    assert bs.lanes_for(6_000_000, 4) == 240 and bs.lanes_for(60_000_000, 4) == 2400
+    assert bs.lanes_for(1) == bs.LANES
