@@ -166,6 +166,42 @@ def test_whole_job_keeps_damaged_records_and_closes_the_last_window(spark, tmp_p
     assert set(rejects) == {"malformed", "missing_actor"} and rejects["malformed"] == "{broken"
 
 
+def test_state_of_the_join_is_one_store_a_partition_and_holds_transactions_only(spark, tmp_path):
+    """A store has a price whatever it holds; alerts meet what is stored and are not stored themselves."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.json").write_text("\n".join([*BURST, event(9, "x", FAR)]))
+    raw = files.event_stream(spark, str(tmp_path / "in"), source="text")
+    rows = st.alert_rows(st.transactions_of(raw), score_by_actor)
+    job = st.start_alert_job(rows, sinks.parquet_alert_sink(str(tmp_path / "out")), str(tmp_path / "ck"), {"availableNow": True})
+    job.awaitTermination()
+    joins = [o for p in job.recentProgress for o in p.stateOperators if o.operatorName == "symmetricHashJoin"]
+    assert {o.numStateStoreInstances for o in joins} == {int(spark.conf.get("spark.sql.shuffle.partitions"))}
+    assert sum(o.numRowsUpdated for o in joins) == 4 and sum(o.numRowsRemoved for o in joins) == 3
+    assert spark.read.parquet(str(tmp_path / "out/suspicious_transactions")).count() == 3
+
+
+def test_rows_are_counted_where_a_job_asks_for_the_count(spark):
+    """The batched job ends when no row waits, so it must not be told zero for want of counting."""
+    name = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    st.keep_state_on_disk(spark, count_rows=False)
+    assert spark.conf.get(name) == "false"
+    st.keep_state_on_disk(spark)
+    assert spark.conf.get(name) == "true"
+
+
+def test_whole_job_starts_once(spark, tmp_path):
+    """One micro-batch reads what has landed with the closing transaction, and one closes the windows."""
+    (tmp_path / "in").mkdir()
+    for n, line in enumerate([*BURST, event(5, "x", "2025-01-17T10:00:00Z"), event(6, "fraud_actor", "2025-01-15T10:00:50Z", 1)]):
+        (tmp_path / f"in/{n}.json").write_text(line)
+    raw = files.event_stream(spark, str(tmp_path / "in"), source="text", maxFilesPerTrigger="1")
+    out = tmp_path / "out"
+    st.run_alert_job(raw, score_by_actor, sinks.parquet_alert_sink(str(out)), str(out))
+    (alert,) = spark.read.parquet(f"{out}/fraud_alerts").collect()
+    assert alert["transaction_count"] == 4 and spark.read.parquet(f"{out}/suspicious_transactions").count() == 4
+    assert sorted(p.name for p in (out / "alert_checkpoint/commits").iterdir() if p.name.isdigit()) == ["0", "1"]
+
+
 def test_whole_job_without_an_end(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.json").write_text("\n".join(BURST))
