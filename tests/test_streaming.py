@@ -219,3 +219,19 @@ def test_whole_job_without_an_end(spark, tmp_path):
         landing.stop()
         job.stop()
     assert spark.read.parquet(f"{out}/fraud_alerts").first()["transaction_count"] == 3
+
+
+def test_records_of_the_json_job_are_compressed_and_cut(spark, tmp_path, monkeypatch):
+    """As text they are several times the table; files that cannot be cut hold a task's work each, and all records are there."""
+    from fraudlens.plans import queries
+
+    monkeypatch.setattr(queries, "fresh_path", lambda *_: str(tmp_path))
+    monkeypatch.setattr(queries, "RECORDS_A_FILE", 300)
+    monkeypatch.setattr(queries.alert_stream, "run_alert_job", lambda *_: None)
+    queries._run_json_job(spark, SMALL)
+    files = [f.name for f in (tmp_path / "records").glob("part-*")]
+    records = adapters.raw_events(spark, SMALL)
+    assert all(f.endswith(".gz") for f in files) and len(files) >= records.count() / 300
+    assert sorted(spark.read.text(f"{tmp_path}/records").collect()) == sorted(records.collect())
+    st.keep_state_on_disk(spark)
+    assert spark.conf.get("spark.sql.streaming.stateStore.compression.codec") == "zstd"
